@@ -88,18 +88,18 @@ def _pair(asked: str, said: str) -> Callable[[Column], Column]:
     return lambda r: F.array(turn("user", r[asked]), turn("assistant", r[said]))
 
 
-def _of(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+def _of(*names: str, **others: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in names] + [T.StructField(n, t) for n, t in others.items()])
 
 
 LAYOUTS = (
-    Layout("turn_rows", _of("conv_id long, turn long, role string, text string"), None),
-    Layout("messages", _of("messages array<struct<role:string,content:string>>"), _messages("messages", "role", "content")),
-    Layout("from_value", _of("conversations array<struct<`from`:string,value:string>>"), _messages("conversations", "from", "value")),
-    Layout("instruction", _of("system string, instruction string, input string, output string"), _instruction, ("system", "input")),
-    Layout("prompt_response", _of("prompt string, response string"), _pair("prompt", "response")),
-    Layout("prompt_completion", _of("prompt string, completion string"), _pair("prompt", "completion")),
-    Layout("question_answer", _of("question string, answer string"), _pair("question", "answer")),
+    Layout("turn_rows", _of("role", "text", conv_id=T.LongType(), turn=T.LongType()), None),
+    Layout("messages", _of(messages=T.ArrayType(_of("role", "content"))), _messages("messages", "role", "content")),
+    Layout("from_value", _of(conversations=T.ArrayType(_of("from", "value"))), _messages("conversations", "from", "value")),
+    Layout("instruction", _of("system", "instruction", "input", "output"), _instruction, ("system", "input")),
+    Layout("prompt_response", _of("prompt", "response"), _pair("prompt", "response")),
+    Layout("prompt_completion", _of("prompt", "completion"), _pair("prompt", "completion")),
+    Layout("question_answer", _of("question", "answer"), _pair("question", "answer")),
 )
 BY_FINGERPRINT = {fingerprint(s): x for x in LAYOUTS for s in x.shapes()}
 
