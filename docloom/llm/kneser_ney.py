@@ -165,9 +165,22 @@ def _counts_of(c: np.ndarray) -> list[int]:
     return [int((c == i).sum()) for i in (1, 2, 3, 4)]
 
 
-def bigram_files(rows: DataFrame, folder: str, n: int) -> DataFrame:
-    """Writes each bucket's arrays; returns part, word, facts (packed, by word) and, in part -1, how many bigrams occur 1, 2, 3, 4 times."""
+def bigram_files(rows: DataFrame, folder: str, parts: int) -> DataFrame:
+    """Writes each bucket's arrays; returns part, word, facts (packed, by word) and, in part -1, how many bigrams occur 1, 2, 3, 4 times.
+
+    A task adds up the words of its buckets before it sends them, so what it sends are as many rows as there are parts,
+    however many buckets it has.
+    """
+    def send(word: np.ndarray, facts: list[np.ndarray], counts: np.ndarray) -> pa.RecordBatch:
+        part = bucket_of(word << np.uint64(16), parts).astype(np.int64)
+        packed = np.stack(facts, 1).astype("<u4")
+        cuts = np.append(_runs(part), len(part))
+        out = [(int(part[i]), _six(word[i:j]), packed[i:j].tobytes()) for i, j in zip(cuts, cuts[1:], strict=False)]
+        out.append((-1, b"", counts.astype("<u8").tobytes()))
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int32()), *(pa.array([r[i] for r in out], pa.binary()) for i in (1, 2))], ["part", "word", "facts"])
+
     def run(it):
+        held, counts = None, np.zeros(4, np.int64)
         for bucket, (vs, ws, cs) in _grouped(it, "bucket", ("v", "w", "c")):
             v, w = (np.concatenate([_from_six(x) for x in xs]) for xs in (vs, ws))
             c = np.concatenate([np.frombuffer(x, np.uint8) for x in cs]).astype(np.int64)
@@ -181,13 +194,14 @@ def bigram_files(rows: DataFrame, folder: str, n: int) -> DataFrame:
             one, zero = np.ones_like(c), np.zeros_like(c)
             right = [c, one, zero, zero, zero, zero]
             left = [zero, zero, c, (c == 1).astype(np.int64), (c == 2).astype(np.int64), (c > 2).astype(np.int64)]
-            word, facts = _summed(np.concatenate((w, v)), [np.concatenate(x) for x in zip(right, left, strict=True)])
-            part = bucket_of(word << np.uint64(16), n).astype(np.int64)
-            facts = np.stack(facts, 1).astype("<u4")
-            cuts = np.append(_runs(part), len(part))
-            out = [(int(part[i]), _six(word[i:j]), facts[i:j].tobytes()) for i, j in zip(cuts, cuts[1:], strict=False)]
-            out.append((-1, b"", np.array(_counts_of(c), "<u8").tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int32()), *(pa.array([r[i] for r in out], pa.binary()) for i in (1, 2))], ["part", "word", "facts"])
+            now = _summed(np.concatenate((w, v)), [np.concatenate(x) for x in zip(right, left, strict=True)])
+            held = now if held is None else _summed(np.concatenate((held[0], now[0])), [np.concatenate(x) for x in zip(held[1], now[1], strict=True)])
+            counts += np.array(_counts_of(c))
+            if len(held[0]) >= FLUSH:
+                yield send(*held, counts)
+                held, counts = None, np.zeros(4, np.int64)
+        if held is not None:
+            yield send(*held, counts)
 
     by = rows.repartition(shuffle_partitions(rows.sparkSession), "bucket").sortWithinPartitions("bucket")
     return by.mapInArrow(run, "part int, word binary, facts binary")
@@ -228,10 +242,10 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> np.ndarray:
 
 
 class Model:
-    """What a worker needs to look up: the folder, the number of files, the totals."""
+    """What a worker needs to look up: the folder, the numbers of files of bigrams and of words, the totals."""
 
-    def __init__(self, folder: str, n: int, total: dict[str, int]):
-        self.folder, self.n, self.total = folder, n, total
+    def __init__(self, folder: str, n: int, parts: int, total: dict[str, int]):
+        self.folder, self.n, self.parts, self.total = folder, n, parts, total
         self.two = discounts(*(total[f"b{i}"] for i in range(1, 5)))
         self.one = discounts(*(total[f"u{i}"] for i in range(1, 5)))
 
@@ -249,7 +263,7 @@ class Model:
         return out
 
     def words(self, keys: np.ndarray) -> np.ndarray:
-        return self._found("word", keys, bucket_of(keys << np.uint64(16), self.n), len(WORD_COLUMNS))
+        return self._found("word", keys, bucket_of(keys << np.uint64(16), self.parts), len(WORD_COLUMNS))
 
     def scored(self, v: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Per token: log10 p(w|v), and the training count of w."""
@@ -274,10 +288,11 @@ def fit(docs: DataFrame) -> Model:
     """Counts the texts of docs and writes the model's files in the shared folder."""
     spark = docs.sparkSession
     small_batches(spark)
-    n = 4 * shuffle_partitions(spark)
+    parts = shuffle_partitions(spark)
+    n = 4 * parts
     folder = new_folder(spark, "kneser-ney")
     folder = folder if "://" in folder else f"file://{folder}"
-    return Model(folder, n, word_files(bigram_files(counted(docs, n), folder, n), folder))
+    return Model(folder, n, parts, word_files(bigram_files(counted(docs, n), folder, parts), folder))
 
 
 def scores(docs: DataFrame, model: Model) -> DataFrame:
