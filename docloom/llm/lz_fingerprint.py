@@ -49,12 +49,14 @@ class Parse:
 def parse(text: str) -> Parse:
     phrases: dict[str, int] = {}
     ends: list[int] = []
-    start = 0
-    for end in range(1, len(text) + 1):
-        if (x := text[start:end]) not in phrases:
+    x, at = "", 0
+    for c in text:
+        x += c
+        if x not in phrases:
             phrases[x] = len(ends)
-            ends.append(end)
-            start = end
+            at += len(x)
+            ends.append(at)
+            x = ""
     return Parse(phrases, ends)
 
 
@@ -62,13 +64,14 @@ def parse_changed(text: str, cut: int, before: Parse) -> list[int]:
     """The phrase ends of a text that equals the parsed one up to `cut`: its parse goes on from there."""
     known = int(np.searchsorted(before.ends, cut, side="right"))
     ends, own, old = before.ends[:known], set(), before.phrases
-    start = ends[-1] if ends else 0
-    for end in range(start + 1, len(text) + 1):
-        x = text[start:end]
+    x, at = "", ends[-1] if ends else 0
+    for c in text[at:]:
+        x += c
         if x not in own and old.get(x, known) >= known:
             own.add(x)
-            ends.append(end)
-            start = end
+            at += len(x)
+            ends.append(at)
+            x = ""
     return ends
 
 
