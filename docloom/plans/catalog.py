@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from docloom.functions import text as tx
 from docloom.operators import evidence, jobs, search
+from docloom.plans import reports
 from docloom.sources.readers import table
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+QUERIES: dict = dict(reports.QUERIES)
+SQL: dict[str, str] = dict(reports.SQL)
 
 
 def query(sql: str):
