@@ -1,7 +1,7 @@
 """Operator 10, licence scans by a trained paragraph classifier.
 
-A paragraph (a line with text) is the set of its hashed word 1- and 2-grams; a multinomial logistic
-regression with sparse weights gives each licence family, an unknown licence and plain text a probability.
+A paragraph (a line with text; of a long line, stretches of SPAN words that overlap by half) is the set of
+its hashed word 1- and 2-grams; a multinomial logistic regression with sparse weights gives each licence family, an unknown licence and plain text a probability.
 It is trained on the driver from the templates below (a small table, varied by rule) and on plain lines drawn
 from the corpus (at most PLAIN lines, by hash: a documented bound for fitting). A temperature
 calibrates the probabilities on lines left out of the training. A family whose probability reaches SURE is
@@ -9,13 +9,12 @@ confirmed by comparison with its templates: the part of the best template's word
 has, in order. What is licence text but matches no template well enough is 'unknown'.
 
 Defined results: null or empty texts: no paragraphs, no families; ties: the first family by name; repeated
-rows give the same; a very long line is one paragraph; extra columns do not matter.
+rows give the same; extra columns do not matter.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from functools import lru_cache
 
 import numpy as np
@@ -28,6 +27,7 @@ from .shared import small_batches, table
 
 SURE, ALIKE, UNKNOWN_AT = 0.6, 0.55, 0.6
 WIDTH = 1 << 15
+SPAN = 40  # words of a line that are judged at once
 PLAIN = 1_500
 WORD = re.compile(r"[^\W_]+(?:[.'-][^\W_]+)*")
 
@@ -74,7 +74,7 @@ def examples() -> list[tuple[str, int]]:
         out.append((text, y))
         for _ in range(7):
             keep = [w for w in ws if r.random() > 0.08]
-            before = ["".join(r.choice(list("abdehinorst"), int(r.integers(2, 9)))) for _ in range(int(r.integers(0, 5)))]
+            before = ["".join(r.choice(list("abdehinorst"), int(r.integers(2, 9)))) for _ in range(int(r.integers(0, 18)))]
             out.append((" ".join(before + keep + before[::-1]), y))
     return out
 
@@ -98,62 +98,85 @@ def train(plain: list[str], rounds: int = 200) -> Classifier:
     fit_, rest = ([x for x, h in zip(table, held, strict=True) if h == k] for k in (False, True))
     sets, y = [s for s, _ in fit_], np.array([k for _, k in fit_])
     sizes = np.array([len(s) for s in sets])
-    idx, of = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
-    value = 1 / np.sqrt(sizes)[of]
+    used, idx = np.unique(np.concatenate(sets), return_inverse=True)
+    by = np.argsort(idx, kind="stable")
+    cuts = np.flatnonzero(np.append(True, np.diff(idx[by]) > 0))
+    of = np.repeat(np.arange(len(sets)), sizes)[by]
+    value = (1 / np.sqrt(sizes))[of][:, None]
+    places = [idx[e - n : e] for e, n in zip(np.cumsum(sizes), sizes, strict=True)]
     share = np.bincount(y, minlength=len(CLASSES))
     importance = (len(y) / np.maximum(share, 1) / len(CLASSES))[y] ** 0.5
-    w, g2 = np.zeros((WIDTH, len(CLASSES))), np.full((WIDTH, len(CLASSES)), 1e-6)
+    w, g2 = np.zeros((len(used), len(CLASSES))), np.full((len(used), len(CLASSES)), 1e-6)
     model = Classifier(w, 1.0)
     for _ in range(rounds):
-        d = -model.probabilities(sets)
+        d = -model.probabilities(places)
         d[np.arange(len(y)), y] += 1
         d *= importance[:, None]
-        g = -0.003 * w
-        np.add.at(g, idx, d[of] * value[:, None])
+        g = np.add.reduceat(d[of] * value, cuts, axis=0) - 0.003 * w
         g2 += g**2
         w += 0.3 * g / np.sqrt(g2)
     w[np.abs(w) < 0.01] = 0
+    full = np.zeros((WIDTH, len(CLASSES)))
+    full[used] = w
     heats = np.array([0.5, 0.7, 1.0, 1.4, 2.0])
-    loss = [-np.log(Classifier(w, h).probabilities([s for s, _ in rest])[np.arange(len(rest)), [k for _, k in rest]] + 1e-9).mean() for h in heats]
-    return Classifier(w, float(heats[int(np.argmin(loss))]))
+    loss = [-np.log(Classifier(full, h).probabilities([s for s, _ in rest])[np.arange(len(rest)), [k for _, k in rest]] + 1e-9).mean() for h in heats]
+    return Classifier(full, float(heats[int(np.argmin(loss))]))
 
 
 def in_order(template: list[str], ws: list[str]) -> float:
-    """The part of the template's words that occur in ws in the same order (greedy from each start, by positions)."""
-    where = defaultdict(list)
-    for i, w in enumerate(ws):
-        where[w].append(i)
-    rows = [0] * (len(ws) + 1)
-    best = 0
-    # longest common subsequence over the positions of shared words only
-    for w in template:
-        for i in reversed(where.get(w, ())):
-            rows[i + 1] = max(rows[i + 1], 1 + max(rows[: i + 1], default=0)) if len(ws) < 400 else max(rows[i + 1], 1 + max(rows[max(0, i - 80) : i + 1], default=0))
-            best = max(best, rows[i + 1])
-    return best / max(len(template), 1)
-
-
-def judged(model: Classifier, ws: list[str], p: np.ndarray) -> tuple[str, float, float] | None:
-    """family or unknown, its probability, likeness to the best template; None for plain text."""
-    plain = p[CLASSES.index("plain")]
+    """The part of the template's words that ws has in the same order: the longest common subsequence, a bit per word."""
+    masks: dict[str, int] = {}
+    for i, w in enumerate(template):
+        masks[w] = masks.get(w, 0) | 1 << i
+    every = (1 << len(template)) - 1
+    row = every
+    for w in ws:
+        if m := masks.get(w):
+            u = row & m
+            row = (row + u | row - u) & every
+    return (len(template) - row.bit_count()) / max(len(template), 1)
+
+
+@lru_cache
+def template_words(family: str) -> list[list[str]]:
+    return [words(t) for t in TEMPLATES[family]]
+
+
+def judged(p: np.ndarray, ws: list[str], i: int, j: int) -> tuple[str, float, float] | None:
+    """Of the words i to j of a line: family or unknown, its probability, likeness to the best template; None for plain text.
+
+    A template longer than the words is compared with their surroundings too, no wider than the template.
+    """
     k = int(np.argmax(p[: len(FAMILIES)]))
-    licence = 1 - plain
+    licence = 1 - p[CLASSES.index("plain")]
     if licence < UNKNOWN_AT:
         return None
-    alike = max(in_order(words(t), ws) for t in TEMPLATES[FAMILIES[k]])
+    alike = max(in_order(t, ws[max(0, i - max(0, len(t) - SPAN)) : j + max(0, len(t) - SPAN)]) for t in template_words(FAMILIES[k]))
     if p[k] / licence >= SURE and alike >= ALIKE:
         return FAMILIES[k], float(p[k]), alike
     return "unknown", float(p[CLASSES.index("unknown")]), alike
 
 
-def signal(model: Classifier) -> np.ndarray:
-    """By gram: whether it speaks for any licence at all; a paragraph without such a word is plain."""
+def signal(model: Classifier) -> frozenset[str]:
+    """The words of all templates that speak for any licence at all; words without two of them are plain."""
+    known = {w for t in (*OTHER, *(t for ts in TEMPLATES.values() for t in ts)) for w in words(t)}
     plain = CLASSES.index("plain")
-    return (np.delete(model.weights, plain, axis=1).max(axis=1) - model.weights[:, plain]) > 0.5
+    margin = np.delete(model.weights, plain, axis=1).max(axis=1) - model.weights[:, plain]
+    return frozenset(w for w in known if margin[_hash(w) % WIDTH] > 0.5)
+
+
+def paragraphs(ws: list[str], speaks: frozenset[str]) -> list[tuple[int, int]]:
+    """A line's words, in stretches of SPAN by half a SPAN (a short line whole), where two words speak, or one of three."""
+    out = []
+    for i in range(0, max(len(ws) - SPAN // 2, 1), SPAN // 2):
+        j = min(i + SPAN, len(ws))
+        if (found := len(speaks.intersection(ws[i:j]))) >= 2 or (found and len(ws) <= 3):
+            out.append((i, j))
+    return out
 
 
 def scan(docs: DataFrame, plain_rows: int = PLAIN) -> DataFrame:
-    """doc_id, start, end (code points), family, probability, likeness: a row for each paragraph with a licence."""
+    """doc_id, start, end (code points), family, probability, likeness: a row for each stretch of text with a licence."""
     spark = docs.sparkSession
     small_batches(spark)
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -165,30 +188,30 @@ def scan(docs: DataFrame, plain_rows: int = PLAIN) -> DataFrame:
     model = train(plain)
     sent = spark.sparkContext.broadcast((model, signal(model)))  # of fixed size
 
+    def lines(model, speaks, text):
+        """start, end, family, probability, likeness of the stretches of one text; neighbours of a family are one."""
+        at, out = 0, []
+        for line in text.split("\n"):
+            if len(speaks.intersection(few := words(line))) >= 2 or (len(few) <= 3 and speaks.intersection(few)):
+                spots = list(WORD.finditer(line))
+                ws = [m.group().lower() for m in spots]
+                if found := paragraphs(ws, speaks):
+                    last = None
+                    for (i, j), p in zip(found, model.probabilities([grams(ws[i:j]) for i, j in found]), strict=True):
+                        if (v := judged(p, ws, i, j)) is not None:
+                            start, end = at + spots[i].start(), at + spots[j - 1].end()
+                            if last and last[2] == v[0] and start <= last[1]:
+                                last[1], last[3], last[4] = end, max(last[3], v[1]), max(last[4], v[2])
+                            else:
+                                out.append(last := [start, end, *v])
+            at += len(line) + 1
+        return out
+
     def run(it):
         model, speaks = sent.value
-        marked: dict[str, bool] = {}
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.float64()]
         for b in it:
-            places, sets, texts = [], [], []
-            for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                at = 0
-                for line in text.split("\n") if text else ():
-                    ws = words(line)
-                    if len(marked) > 400_000:
-                        marked.clear()
-                    for w in set(ws) - marked.keys():
-                        marked[w] = bool(speaks[_hash(w) % WIDTH])
-                    if sum(marked[w] for w in set(ws)) >= 2 or (len(ws) <= 3 and any(marked[w] for w in ws)):
-                        places.append((doc, at, at + len(line)))
-                        sets.append(grams(ws))
-                        texts.append(ws)
-                    at += len(line) + 1
-            out = []
-            if sets:
-                for (doc, s, e), ws, p in zip(places, texts, model.probabilities(sets), strict=True):
-                    if (j := judged(model, ws, p)) is not None:
-                        out.append((doc, s, e, *j))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.float64()]
+            out = [(doc, *x) for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True) if text for x in lines(model, speaks, text)]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], ["doc_id", "start", "end", "family", "probability", "likeness"])
 
     return given.mapInArrow(run, "doc_id long, start long, end long, family string, probability double, likeness double")
