@@ -155,6 +155,28 @@ def test_licences(spark):
     assert got == {(30, "mit"), (31, "unknown")}
 
 
+def test_licences_within_long_lines(spark):
+    text = "tree water stone " * 200 + "Licensed under the Apache License, Version 2.0. " + "house river cloud " * 200
+    rows = [(1, text), (2, "tree water stone " * 400), (3, "mit " * 300)]
+    got = licenses.scan(docs_of(spark, rows)).collect()
+    assert got and {(r.doc_id, r.family) for r in got} == {(1, "apache")}
+    assert any("Apache License" in text[r.start : r.end] for r in got)
+
+
+def test_template_comparison_against_a_table():
+    def plain(t, ws):
+        rows = [[0] * (len(ws) + 1) for _ in range(len(t) + 1)]
+        for i, x in enumerate(t):
+            for j, y in enumerate(ws):
+                rows[i + 1][j + 1] = rows[i][j] + 1 if x == y else max(rows[i][j + 1], rows[i + 1][j])
+        return rows[-1][-1] / max(len(t), 1)
+
+    r = np.random.default_rng(3)
+    for _ in range(200):
+        t, ws = (list(r.choice(list("abcde"), int(r.integers(0, 30)))) for _ in range(2))
+        assert licenses.in_order(t, ws) == plain(t, ws)
+
+
 def test_pipeline_stages_keep_columns(spark, tmp_path):
     d = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{d}/documents.parquet")
