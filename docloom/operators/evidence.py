@@ -57,3 +57,10 @@ def cards(docs: DataFrame, labels: DataFrame) -> DataFrame:
     flags = F.array_compact(F.array(F.when(F.length("title") > 180, "long_title"), F.when(F.length("title") < 8, "short_title"), F.when(F.col("title").rlike("[#$%&*]{3}"), "noisy_title"), F.when(F.col("quality").isNull(), "unlabelled")))
     confidence = F.when(F.col("quality") == 1, 0.9).when(F.col("quality") == 0, 0.6).otherwise(0.75)
     return docs.join(one, "doc_id", "left").withColumn("title", title).select("doc_id", "title", confidence.alias("confidence"), F.array_join(flags, ",").alias("qc_flags"))
+
+
+def units(docs: DataFrame) -> DataFrame:
+    """doc_id, unit_id, unit_type, source_weight, text: the title and the lines that can be cited."""
+    title = docs.select("doc_id", F.concat(F.col("doc_id").cast("string"), F.lit(":title")).alias("unit_id"), F.lit("title").alias("unit_type"), F.lit(1.2).alias("source_weight"), tx.clip(F.element_at(F.split("text", "\n"), 1), 240).alias("text")).filter("text <> ''")
+    lines = snippets(docs).select("doc_id", F.concat(F.col("doc_id").cast("string"), F.lit(":line_"), F.col("line_no").cast("string")), F.lit("line"), F.lit(1.0), "text")
+    return title.union(lines)

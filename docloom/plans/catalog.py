@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docloom.functions import text as tx
-from docloom.operators import evidence, jobs, search
-from docloom.plans import reports
+from docloom.operators import evidence, jobs, labels, search
+from docloom.plans import labelled, reports
 from docloom.sources.readers import table
 
-QUERIES: dict = dict(reports.QUERIES)
-SQL: dict[str, str] = dict(reports.SQL)
+QUERIES: dict = reports.QUERIES | labelled.QUERIES
+SQL: dict[str, str] = reports.SQL | labelled.SQL
 
 
 def query(sql: str):
@@ -167,3 +167,30 @@ def semi_anti_filter(spark, d):
     building = table(spark, d, "customer").filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
     returned = table(spark, d, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
     return table(spark, d, "orders").select("o_orderkey", "o_custkey").join(building, "o_custkey", "left_semi").join(returned, "o_orderkey", "left_anti").select("o_orderkey", "o_custkey")
+
+
+@query(f"""with c as ({SQL["card_qc_flags"]}), f as (select doc_id, unnest(list_filter(string_split(qc_flags, ','), lambda x: x <> '')) as flag from c),
+r as (select *, row_number() over (partition by flag order by doc_id) as i from f)
+select flag, count(*) as n, string_agg(doc_id::varchar, ',' order by doc_id) filter (i <= 12) as examples from r group by 1""")
+def qc_report(spark, d):
+    return labels.flag_report(card_qc_flags(spark, d))
+
+
+@query(f"""with a as ({SQL["audit_severity"]}) select bucket, count(*) as n, min(severity) as low, max(severity) as high from a group by 1""")
+def audit_buckets(spark, d):
+    return audit_severity(spark, d).groupBy("bucket").agg(F.count("*").alias("n"), F.min("severity").alias("low"), F.max("severity").alias("high"))
+
+
+@query(f"""with c as ({SQL["card_qc_flags"]}), s as ({SQL["description_snippets"]})
+select doc_id, doc_id || ':title' as unit_id, 'title' as unit_type, 1.2::double as source_weight, title as text from c where title <> ''
+union all select doc_id, doc_id || ':line_' || line_no, 'line', 1.0::double, text from s""")
+def evidence_units(spark, d):
+    return evidence.units(table(spark, d, "documents"))
+
+
+@query(BM25 + f""", t2 as (select doc_id, {TOKENS.replace("text", "substring(string_split(text, chr(10))[1], 1, 240)")} as title from documents),
+w as (select r.query_id, r.doc_id, r.score, len(list_intersect(string_split(p.phrase, ' '), title)) as hits from r join p using (query_id) join t2 using (doc_id) where rank <= 10)
+select query_id, doc_id, hits::bigint as title_hits, round(greatest(0, least(20, score)) + least(12, 1.6 * hits), 6) as fit from w""")
+def search_rerank(spark, d):
+    docs, phrases = table(spark, d, "documents"), _phrases(spark, d)
+    return search.refitted(search.bm25(docs, phrases), docs, phrases)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docloom.functions import text as tx
-from docloom.operators import evidence, search
+from docloom.operators import evidence, labels, search
 from docloom.plans import catalog
 from docloom.sources import readers
 from docloom.streaming import workers
@@ -64,3 +64,26 @@ def test_stream_keeps_every_event(spark, tmp_path):
     q = workers.keep_state(workers.event_stream(spark, str(tmp_path / "in"), events.schema), str(tmp_path / "out"), str(tmp_path / "ck"))
     q.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == events.count()
+
+
+def test_labels_by_near_cues(spark):
+    texts = ["High power consumption was seen", "The latency is reduced and errors are fewer; fewer errors", "power " + "x" * 40 + " consumed", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: (r.problems, r.effects) for r in labels.labelled(docs).collect()}
+    assert rows[0] == (["power_consumption"], [])
+    assert rows[1] == (["data_transfer_latency", "error_risk"], ["latency_reduction", "error_reduction"])
+    assert rows[2] == rows[3] == ([], []) and rows[4] == ([], [])
+
+
+def test_kinds_quantities_windows(spark):
+    df = spark.createDataFrame([("A method for a system, 10 ms at 5 GHz, 10 ms",), ("",), (None,)], "x string")
+    one, two = labels.kinds(F.col("x"))
+    rows = df.select(one.alias("a"), two.alias("b"), labels.quantities(F.col("x")).alias("q"), labels.window_of(F.col("x"), "system", 4, 6).alias("w")).collect()
+    assert (rows[0].a, rows[0].b, rows[0].q, rows[0].w) == ("system", ["method"], ["10 ms", "5 GHz"], "r a system")
+    assert [(r.a, r.q, r.w) for r in rows[1:]] == [(None, [], None)] * 2
+
+
+def test_chunks_keep_every_turn(spark):
+    turns = [(1, i, "x" * n) for i, n in enumerate((4, 4, 9, 30, 1, 0))] + [(2, 0, None)]
+    rows = labels.chunks(spark.createDataFrame(turns, "conv_id long, turn long, text string"), 10).orderBy("conv_id", "chunk_no").collect()
+    assert [(r.conv_id, r.chunk_no, r.first_turn, r.last_turn, r.n_chars) for r in rows] == [(1, 1, 0, 1, 9), (1, 2, 2, 2, 9), (1, 3, 3, 3, 30), (1, 4, 4, 5, 2), (2, 1, 0, 0, 0)]
