@@ -1,12 +1,15 @@
 """Operator 10, licence scans by a trained paragraph classifier.
 
-A paragraph (a line with text; of a long line, stretches of SPAN words that overlap by half) is the set of
-its hashed word 1- and 2-grams; a multinomial logistic regression with sparse weights gives each licence family, an unknown licence and plain text a probability.
+A paragraph is a run of lines with words, joined (marks of comments hold no words); each of its lines is judged
+too, so that a notice of one line is not thinned by its neighbours. What is judged (of more than SPAN words,
+stretches of SPAN that overlap by half) is the set of its hashed word 1- and 2-grams; a multinomial logistic regression with sparse weights gives each licence family, an unknown licence and plain text a probability.
 It is trained on the driver from the templates below (a small table, varied by rule) and on plain lines drawn
 from the corpus (at most PLAIN lines, by hash: a documented bound for fitting). A temperature
 calibrates the probabilities on lines left out of the training. A family whose probability reaches SURE is
 confirmed by comparison with its templates: the part of the best template's words that the paragraph
-has, in order. What is licence text but matches no template well enough is 'unknown'.
+has, in order. A heading (a licence by name only) is compared with short lines only. Where words of several families
+meet, each family is judged without the others' own words, and all that are confirmed are given.
+What is licence text but matches no template well enough, and meets no confirmed family, is 'unknown'.
 
 Defined results: null or empty texts: no paragraphs, no families; ties: the first family by name; repeated
 rows give the same; extra columns do not matter.
@@ -41,6 +44,19 @@ TEMPLATES = {
     "mpl": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Licensed under the Mozilla Public License, version 2.0.", "SPDX-License-Identifier: MPL-2.0"),
     "proprietary": ("All rights reserved.", "Copyright 2021 the authors. All rights reserved.", "Unauthorized copying of this file, via any medium, is strictly prohibited.", "Proprietary and confidential.", "No part of this publication may be reproduced without prior written permission of the publisher."),
 }
+# Licences by name only; for lines of at most NAMED more words, and those of one word beside another family.
+HEADINGS = {
+    "apache": ("Apache License", "Apache-2.0", "License Apache-2.0"),
+    "bsd": ("BSD License", "BSD", "BSD-2-Clause", "BSD-3-Clause", "License BSD-2-Clause", "License BSD-3-Clause"),
+    "cc": ("Creative Commons License", "CC-BY-4.0", "CC-BY-SA-4.0", "CC0-1.0", "License CC-BY-4.0", "License CC-BY-SA-4.0"),
+    "gpl": ("GNU General Public License", "GNU Lesser General Public License", "GPL License", "GPL", "LGPL", "GPL-2.0", "GPL-3.0", "GPL-2.0-only", "GPL-3.0-only", "GPL-2.0-or-later", "GPL-3.0-or-later", "LGPL-2.1-or-later", "License GPL-2.0-or-later", "License GPL-3.0-or-later"),
+    "mit": ("MIT License", "MIT", "License MIT"),
+    "mpl": ("Mozilla Public License", "MPL", "MPL-2.0", "License MPL-2.0"),
+    "proprietary": (),
+}
+NAMED = 4
+# Marks of comments that are words.
+COMMENT = re.compile(r"^[^\S\n]*@?(?:rem|dnl)(?=[^\S\n])", re.I | re.M)
 # Licences of no family above, and plain sentences that talk like one.
 OTHER = ("Licensed under the Foo Public License, version 1.", "This work is licensed under the terms of the Sample Community License.", "Released under the Example Source License.", "Distributed under the Boost Software License, Version 1.0.", "Licensed under the Eclipse Public License 2.0.", "SPDX-License-Identifier: Zlib", "This file is licensed under the Artistic License.", "Licensed under the European Union Public Licence.", "Released under the Unlicense.", "Distributed under the ISC License.")
 TALK = ("He has a driving license and a car.", "The city issued a license to sell food.", "Work is under way and will be released in version 3.", "The general public was pleased with the work.", "She worked under the terms of the contract.", "Permission to land was granted free of charge.", "The apache helicopter landed.", "Students at MIT released a new version.", "This program is free for all.", "You may obtain a copy at the desk.")
@@ -142,21 +158,63 @@ def template_words(family: str) -> list[list[str]]:
     return [words(t) for t in TEMPLATES[family]]
 
 
-def judged(p: np.ndarray, ws: list[str], i: int, j: int) -> tuple[str, float, float] | None:
-    """Of the words i to j of a line: family or unknown, its probability, likeness to the best template; None for plain text.
+@lru_cache
+def heading_words(family: str) -> list[list[str]]:
+    return [words(t) for t in HEADINGS[family]]
+
+
+@lru_cache
+def own_words(family: str) -> frozenset[str]:
+    """The words of a family's templates and headings that no other licence here has."""
+    others = {w for f in FAMILIES if f != family for t in (*template_words(f), *heading_words(f)) for w in t} | {w for t in OTHER for w in words(t)}
+    return frozenset(w for t in (*template_words(family), *heading_words(family)) for w in t) - others
+
+
+def likeness(family: str, ws: list[str], i: int, j: int, own: bool = False) -> float:
+    """To the best template, of the words i to j; with own, of the templates by whose own words the family is told.
 
     A template longer than the words is compared with their surroundings too, no wider than the template.
     """
+    best = 0.0
+    for t in template_words(family):
+        near = ws[max(0, i - max(0, len(t) - SPAN)) : j + max(0, len(t) - SPAN)]
+        if not own or own_words(family).intersection(t).intersection(near):
+            best = max(best, in_order(t, near))
+    return max([best, *(in_order(t, ws) for t in heading_words(family) if len(ws) <= len(t) + NAMED and (own or len(t) > 1))])
+
+
+def judged(p: np.ndarray, ws: list[str], i: int, j: int) -> tuple[str, float, float] | None:
+    """Of the words i to j of a line or paragraph: family or unknown, its probability, likeness to the best template; None for plain text."""
     k = int(np.argmax(p[: len(FAMILIES)]))
     licence = 1 - p[CLASSES.index("plain")]
     if licence < UNKNOWN_AT:
         return None
-    alike = max(in_order(t, ws[max(0, i - max(0, len(t) - SPAN)) : j + max(0, len(t) - SPAN)]) for t in template_words(FAMILIES[k]))
+    alike = likeness(FAMILIES[k], ws, i, j)
     if p[k] / licence >= SURE and alike >= ALIKE:
         return FAMILIES[k], float(p[k]), alike
     return "unknown", float(p[CLASSES.index("unknown")]), alike
 
 
+def judged_all(model: Classifier, p: np.ndarray, ws: list[str], i: int, j: int) -> list[tuple[str, float, float]]:
+    """judged(), and where own words of several families meet, each of these families that is confirmed without the others' own words."""
+    first, own = judged(p, ws, i, j), ws[i:j]
+    joined = {"and", "or"}.intersection(own)
+    if first is None and not (joined and len(own) <= 2 * NAMED):  # "MIT OR Apache-2.0" alone has few words to speak for a licence
+        return []
+    out = {first[0]: first} if first and first[0] != "unknown" else {}
+    named = [f for f in FAMILIES if not own_words(f).isdisjoint(own)]
+    for f in named if len(named) > 1 else ():
+        foreign = frozenset().union(*(own_words(g) for g in named if g != f))
+        rest = [w for k, w in enumerate(own) if w not in foreign and not (w in ("and", "or") and not foreign.isdisjoint(own[max(0, k - 1) : k + 2]))]
+        if f in out or (alike := likeness(f, rest, 0, len(rest), own=True)) < ALIKE:
+            continue
+        q = model.probabilities([grams(rest)])[0]
+        k, licence = FAMILIES.index(f), 1 - q[CLASSES.index("plain")]
+        if licence >= UNKNOWN_AT and q[k] / licence >= SURE:
+            out[f] = (f, float(q[k]), alike)
+    return list(out.values()) or ([first] if first else [])
+
+
 def signal(model: Classifier) -> frozenset[str]:
     """The words of all templates that speak for any licence at all; words without two of them are plain."""
     known = {w for t in (*OTHER, *(t for ts in TEMPLATES.values() for t in ts)) for w in words(t)}
@@ -175,6 +233,61 @@ def paragraphs(ws: list[str], speaks: frozenset[str]) -> list[tuple[int, int]]:
     return out
 
 
+def in_paragraph(model: Classifier, speaks: frozenset[str], given: list[tuple[int, str, list[str]]]) -> list[list]:
+    """start, end, family, probability, likeness of a paragraph's stretches, from its lines' starts, texts and words."""
+    ws = [w for _, _, few in given for w in few]
+    if not speaks.intersection(ws):
+        return []
+    ends = np.cumsum([len(few) for _, _, few in given]).tolist()
+    own = list(zip([0, *ends[:-1]], ends, strict=True))
+    work = [(a + i, a + j, a, b) for a, b in own for i, j in paragraphs(ws[a:b], speaks)]
+    if len(own) > 1:  # a stretch within one line has been judged with it
+        work += [(i, j, 0, len(ws)) for i, j in paragraphs(ws, speaks) if not any(a <= i and j <= b for a, b in own)]
+    if not work:
+        return []
+    speaking = [(a, b) for a, b in own if paragraphs(ws[a:b], speaks)]
+    pieces: list[list] = []
+    told: list[tuple[int, int, str]] = []  # lines that are licence text by themselves, and as what
+    for (i, j, a, b), p in zip(work, model.probabilities([grams(ws[i:j]) for i, j, _, _ in work]), strict=True):
+        for v in judged_all(model, p, ws[a:b], i - a, j - a):
+            at, end = i, j
+            if (a, b) in own:
+                told.append((a, b, v[0]))
+            else:  # plain lines at the ends do not belong to it
+                alone = [(x, y) for x, y, f in told if x < j and y > i]
+                by = alone if any(x < j and y > i and f == v[0] for x, y, f in told) else [x for x in speaking if x[0] < j and x[1] > i]
+                if by:
+                    at, end = max(i, min(x for x, _ in by)), min(j, max(y for _, y in by))
+            pieces.append([at, end, *v])
+    sure = [x for x in pieces if x[2] != "unknown"]
+    pieces = sure + [x for x in pieces if x[2] == "unknown" and not any(y[0] < x[1] and x[0] < y[1] for y in sure)]
+    out: list[list] = []
+    for x in sorted(pieces, key=lambda x: (x[2], x[0], x[1])):
+        if out and out[-1][2] == x[2] and x[0] <= out[-1][1] - 1:
+            last = out[-1]
+            last[1], last[3], last[4] = max(last[1], x[1]), max(last[3], x[3]), max(last[4], x[4])
+        else:
+            out.append(x)
+    if not out:
+        return []
+    spots = [(at + m.start(), at + m.end()) for at, line, _ in given for m in WORD.finditer(line)]
+    return sorted([spots[i][0], spots[j - 1][1], *v] for i, j, *v in out)
+
+
+def notices(model: Classifier, speaks: frozenset[str], text: str) -> list[list]:
+    """start, end, family, probability, likeness of the stretches of one text; neighbours of a family are one."""
+    at, out, given = 0, [], []
+    text = COMMENT.sub(lambda m: " " * len(m.group()), text)
+    for line in text.split("\n"):
+        if few := words(line):
+            given.append((at, line, few))
+        elif given:
+            out += in_paragraph(model, speaks, given)
+            given = []
+        at += len(line) + 1
+    return out + (in_paragraph(model, speaks, given) if given else [])
+
+
 def scan(docs: DataFrame, plain_rows: int = PLAIN) -> DataFrame:
     """doc_id, start, end (code points), family, probability, likeness: a row for each stretch of text with a licence."""
     spark = docs.sparkSession
@@ -188,30 +301,11 @@ def scan(docs: DataFrame, plain_rows: int = PLAIN) -> DataFrame:
     model = train(plain)
     sent = spark.sparkContext.broadcast((model, signal(model)))  # of fixed size
 
-    def lines(model, speaks, text):
-        """start, end, family, probability, likeness of the stretches of one text; neighbours of a family are one."""
-        at, out = 0, []
-        for line in text.split("\n"):
-            if len(speaks.intersection(few := words(line))) >= 2 or (len(few) <= 3 and speaks.intersection(few)):
-                spots = list(WORD.finditer(line))
-                ws = [m.group().lower() for m in spots]
-                if found := paragraphs(ws, speaks):
-                    last = None
-                    for (i, j), p in zip(found, model.probabilities([grams(ws[i:j]) for i, j in found]), strict=True):
-                        if (v := judged(p, ws, i, j)) is not None:
-                            start, end = at + spots[i].start(), at + spots[j - 1].end()
-                            if last and last[2] == v[0] and start <= last[1]:
-                                last[1], last[3], last[4] = end, max(last[3], v[1]), max(last[4], v[2])
-                            else:
-                                out.append(last := [start, end, *v])
-            at += len(line) + 1
-        return out
-
     def run(it):
         model, speaks = sent.value
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.float64()]
         for b in it:
-            out = [(doc, *x) for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True) if text for x in lines(model, speaks, text)]
+            out = [(doc, *x) for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True) if text for x in notices(model, speaks, text)]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], ["doc_id", "start", "end", "family", "probability", "likeness"])
 
     return given.mapInArrow(run, "doc_id long, start long, end long, family string, probability double, likeness double")

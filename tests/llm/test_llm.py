@@ -163,6 +163,18 @@ def test_licences_within_long_lines(spark):
     assert any("Apache License" in text[r.start : r.end] for r in got)
 
 
+def test_licences_over_wrapped_lines_and_of_several_families(spark):
+    mit = "/*\n * MIT License\n *\n * Permission is hereby granted, free of charge, to any person obtaining a copy\n * of this software and associated documentation files (the \"Software\"), to deal\n * in the Software without restriction, including without limitation the rights\n */"
+    bsd = "int x;\n\n# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that the following conditions\n# are met:"
+    gpl = "REM This program is free software: you can redistribute it and/or modify\nREM it under the terms of the GNU General Public License as published by\nREM the Free Software Foundation, either version 3 of the License, or\nREM (at your option) any later version."
+    rows = [*TEXTS, (40, mit), (41, bsd), (42, gpl), (43, "MIT OR Apache-2.0"), (44, "SPDX-License-Identifier: MIT OR Apache-2.0"), (45, "tree\n\nDistributed under the Foo Public\nLicense, version 9.\n\nstone"), (46, "tree stone\nReleased under the MIT License.\nmore water")]
+    texts, out = dict(rows), licenses.scan(docs_of(spark, rows)).collect()
+    assert [r.family for r in out if r.doc_id == 45] == ["unknown"]
+    got = sorted((r.doc_id, r.family, texts[r.doc_id][r.start : r.end].split()[0], texts[r.doc_id][r.start : r.end].split()[-1]) for r in out if r.doc_id != 45)
+    assert got == [(40, "mit", "MIT", "License"), (40, "mit", "Permission", "rights"), (41, "bsd", "Redistribution", "met"), (42, "gpl", "This", "version"),
+                   *((i, f, w, "Apache-2.0") for i, w in ((43, "MIT"), (44, "SPDX-License-Identifier:")) for f in ("apache", "mit")), (46, "mit", "Released", "License")]
+
+
 def test_template_comparison_against_a_table():
     def plain(t, ws):
         rows = [[0] * (len(ws) + 1) for _ in range(len(t) + 1)]
