@@ -4,10 +4,12 @@ A page is stripped of markup into lines, one for each block element. Lines of me
 sidebars, notices, adverts, forms and comments count no text; where such an element stands outside the
 article, BLOCK empty lines mark the break. The text lengths of BLOCK lines from each line on are summed:
 a sum that surges above the threshold opens a region at its first line with text, and a sum that dives to
-0 closes it. The text between is kept. Regions inside one article or main element are one region.
+0 closes it. Regions inside one article or main element are one region. Where the article and main elements
+that surge (or else the one with most text) hold more than half of the text, they are kept; otherwise all
+lines are, short ones beside adverts and articles too.
 
-Defined results: null or empty html, or html without text: '' and 0; no region above the threshold:
-the one with most text; equal regions: the first; unclosed elements end with their parent; repeated
+Defined results: null or empty html, or html without text: '' and 0; no article above the threshold:
+the one with most text; equal articles: the first; unclosed elements end with their parent; repeated
 rows give the same; extra columns do not matter.
 """
 
@@ -134,7 +136,7 @@ def regions(page: list[tuple[str, int]], surge: int = SURGE) -> list[int]:
     """The lines that are kept."""
     sizes = [len(t) for t, _ in page]
     sums = [sum(sizes[i : i + BLOCK]) for i in range(len(sizes))]
-    found: list[tuple[int, int, bool, int]] = []
+    found: list[tuple[int, int, bool]] = []
     i = 0
     while i < len(sizes):
         if not sums[i]:
@@ -144,17 +146,16 @@ def regions(page: list[tuple[str, int]], surge: int = SURGE) -> list[int]:
         while j < len(sizes) and sums[j]:  # until the sum dives to 0
             peak = max(peak, sums[j])
             j += 1
-        found.append((i, j, peak >= surge, sum(sizes[i:j])))
+        found.append((i, j, peak >= surge))
         i = j
-    inside = {page[k][1] for a, b, ok, _ in found if ok for k in range(a, b) if page[k][1]}
+    inside = {page[k][1] for a, b, ok in found if ok for k in range(a, b) if page[k][1]}
     if not inside and (total := {n: sum(s for s, (_, m) in zip(sizes, page, strict=True) if m == n) for n in {m for _, m in page} - {0}}):
         # short articles: an article element is one all the same
         if max(total.values()):
             inside = {min(total, key=lambda n: (-total[n], n))}
-    if inside:  # where articles are marked, what surges outside them is not theirs
+    if 2 * sum(s for s, (_, m) in zip(sizes, page, strict=True) if m in inside) > sum(sizes):  # 0 is in none
         return [k for k in range(len(page)) if page[k][1] in inside and sizes[k]]
-    keep = [(a, b) for a, b, ok, _ in found if ok] or [max(found, key=lambda x: (x[3], -x[0]))[:2]] if found else []
-    return [k for a, b in keep for k in range(a, b) if sizes[k]]
+    return [k for k in range(len(page)) if sizes[k]]
 
 
 def main_text(page: str | None) -> str:

@@ -149,6 +149,15 @@ def test_main_text(page, want):
     assert html_text.main_text(page) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<header>h</header><h1>T</h1><p>short</p><div class=ad>x</div><div><p>{0}</p></div><div class=ad>y</div><p>last</p><footer>f</footer>", "T short {0} last"),
+    ("<h1>T</h1><div><p>{0}</p><p>{0}</p><p>{0}</p></div><form>q</form><article>{1}</article><article>teaser</article>", "T {0} {0} {0} {1} teaser"),
+    ("<div>menu</div><article>{0}</article><div class=ad>x</div><p>outside</p>", "{0}")])
+def test_short_blocks_and_teasers(page, want):
+    body, teaser = "body words " * 20 + "end", "card words " * 10 + "end"
+    assert html_text.main_text(page.format(body, teaser)) == want.format(body, teaser)
+
+
 def test_licences(spark):
     rows = [*TEXTS, (30, "plain line\nReleased under the MIT License.\nmore"), (31, "Distributed under the Foo Public License, version 9.")]
     got = {(r.doc_id, r.family) for r in licenses.scan(docs_of(spark, rows)).collect()}
