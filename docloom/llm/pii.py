@@ -3,8 +3,8 @@
 The patterns give the base spans. The field is trained on the driver from a small labelled table (the
 lines of TRAINING, filled with made-up values), and finds what the patterns miss: addresses written
 with (at) and dot, telephone numbers without a plus, numbers grouped by other marks. Its sequences are the
-neighbourhoods of words that hold a digit or an at sign (MARGIN words on each side, overlapping ones
-joined): far from those every word is plain and its label is O. Sequences of a batch are decoded together
+neighbourhoods of words that hold a digit, an at sign, "at" or "dot" in any case (MARGIN words on each side,
+overlapping ones joined): a span without one of these is not kept. Sequences of a batch are decoded together
 by Viterbi in numpy. A found span is kept if it has the digits or parts of its kind and meets no base span.
 
 Defined results: null or empty text: no spans, the digest of ''; offsets are code points, ends exclusive;
@@ -34,7 +34,9 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGITS = re.compile(r"[0-9]")
 
 MARGIN = 3
-TRIGGER = re.compile(r"[0-9@]|\bdot\b|[\[(]at[\])]")
+# What a plausible span cannot be without; MARK is what stands for @ and a dot.
+TRIGGER = re.compile(r"[0-9@]|\b(?:dot|at)\b", re.I)
+MARK = re.compile(r"\b(?:at|dot)\b", re.I)
 LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 WIDTH = 1 << 12  # hashed features
 
@@ -112,6 +114,7 @@ def shape(word: str) -> str:
 
 
 def features(word: str) -> list[int]:
+    word = MARK.sub(lambda m: m.group().lower(), word)
     digits = len(DIGITS.findall(word))
     s = shape(word)
     names = [f"s{s}", f"d{min(digits, 20)}", f"g{min(digits // 4, 5)}", f"f{s[:2]}", f"l{s[-2:]}", f"@{'@' in word}", f"m{''.join(sorted(set(re.sub(r'[\w\s]', '', word))))[:6]}"]
@@ -305,7 +308,7 @@ def neighbourhoods(text: str) -> Iterator[list[tuple[str, int]]]:
 def plausible(kind: int, text: str) -> bool:
     digits = "".join(DIGITS.findall(text))
     if KINDS[kind] == "email":
-        return bool(re.search(r"\S\s*(@|[\[(]at[\])]|\bat\b)\s*\S", text) and re.search(r"\.|\bdot\b", text)) and len(text) < 120
+        return bool(re.search(r"\S\s*(@|[\[(]at[\])]|\bat\b)\s*\S", text, re.I) and re.search(r"\.|\bdot\b", text, re.I)) and len(text) < 120
     if KINDS[kind] == "ip":
         return bool(re.fullmatch(r"[0-9]+(\.[0-9]+){3}", text)) and fits("ip", text)
     if KINDS[kind] == "card":

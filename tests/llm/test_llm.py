@@ -1,6 +1,7 @@
 """Edge cases, and comparisons with brute force, of the training-data operators."""
 
 import hashlib
+import re
 
 import numpy as np
 import pytest
@@ -144,6 +145,17 @@ def test_pii_spans(spark):
     assert pii.masked(docs_of(spark, [*TEXTS, (50, text)])).filter("doc_id = 50").first().text == "mail [EMAIL] or [PHONE], host [IP], card [CARD]."
 
 
+def test_pii_windows_against_whole_texts(monkeypatch):
+    far = "plain words of no kind " * 6
+    texts = [f"{far}ask john (AT) example DOT com now {far}", f"{far}ask john[AT]example[DOT]org now {far}", f"{far}ask jane at mailbox.org today {far}", f"{far}Call +1 (017) 555-7713 at noon. {far}"]
+    field = pii.trained()
+    windows = pii.decoded(field, texts, {})
+    assert [[t[s:e] for _, s, e in spans] for t, spans in zip(texts[:2], windows)] == [["john (AT) example DOT com"], ["john[AT]example[DOT]org"]]
+    assert any(w == "mailbox.org" for s in pii.neighbourhoods(texts[2]) for w, _ in s)
+    monkeypatch.setattr(pii, "neighbourhoods", lambda t: iter([[(m.group(), m.start()) for m in re.finditer(r"\S+", t)]]))
+    assert pii.decoded(field, texts, {}) == windows
+
+
 @pytest.mark.parametrize("page, want", [(None, ""), ("", ""), ("<p>a", "a"), ("<nav>x</nav><article><h1>T</h1><p>a &amp;\n b<br><p>c</article><footer>f</footer>", "T a & b c"), ("<div class=ad>x</div><main><p>y<aside>z</aside></main>", "y")])
 def test_main_text(page, want):
     assert html_text.main_text(page) == want
