@@ -30,6 +30,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """The name, with underscores before it until no column has it (names differ by case only: taken)."""
+    low = {x.lower() for x in taken}
+    while name.lower() in low:
+        name = f"_{name}"
+    return name
+
+
 def new_folder(spark: SparkSession, what: str) -> str:
     return f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex[:12]}"
 
@@ -41,6 +49,36 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+#: Shuffle files go when the query that made them has ended, not when the driver's memory is collected.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+class Scratch:
+    """Tables of one job in the shared folder, deleted when nothing reads them any more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folders = spark, {}
+
+    def written(self, df: DataFrame, what: str) -> DataFrame:
+        """written(), without the shuffle files; `what` names it for drop()."""
+        before = self.spark.conf.get(TIDY, "false")
+        self.spark.conf.set(TIDY, "true")
+        try:
+            df.write.parquet(folder := new_folder(self.spark, what))
+        finally:
+            self.spark.conf.set(TIDY, before)
+        self.folders.setdefault(what, []).append(folder)
+        return self.spark.read.schema(df.schema).parquet(folder)
+
+    def drop(self, *names: str) -> None:
+        """Deletes the tables of these names; all without a name."""
+        context = self.spark.sparkContext
+        for name in names or tuple(self.folders):
+            for folder in self.folders.pop(name, ()):
+                path = context._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small_batches(spark: SparkSession, rows: int = 512) -> None:
     """Bounds what one Arrow batch holds, for tables with very long texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
