@@ -20,14 +20,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group the document with the smallest id stays; documents without words are no copies of each other."""
-    groups = jaccard_join.jaccard_components(docs, n=5, num=80, den=100)
-    stays = written(groups.filter("doc_id = component_id").select("doc_id").distinct(), "stays")
-    few = stays.count() <= jaccard_join.FEW_IDS
-    kept = docs.join(F.broadcast(stays) if few else stays, "doc_id", "left_semi")
-    if not docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter("doc_id is null"))
+    """Of each group one row stays: the smallest id, null last. Rows without words are no copies of each other."""
+    return jaccard_join.one_of_each(docs, n=5, num=80, den=100)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
