@@ -9,6 +9,8 @@
    the r-th block of the repeated stream; the last one takes what is left up to the target.
 4. pieces(): slots meet the documents of their block: (slot, document, first word, words).
 
+5. corpus(): the documents with the slots that their words fill.
+
 No step puts a source into one task: prefix sums run over hash buckets of documents and over chunks
 of slots, and only their sums are windowed by source. Reruns agree: the order is a hash of doc_id.
 
@@ -21,18 +23,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import table, word_count
+from .shared import free_name, table, word_count, written
 
 WEIGHTS, SHARE, MOST, BLOCK = (5, 2, 1), 1.5, 2.0, 1024
 GOLDEN = 0.6180339887498949  # fixed value: the golden ratio's fractional part
 CHUNK = 65_536  # slots that are ranked together
+CELLS, FEW_SOURCES = 4096, 50_000  # parts of the unit interval; sources whose rows (about 5 MB) may be broadcast
 BUCKET_HEX = 3  # documents of a source are summed in 16 ** 3 buckets
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size (words) and the shuffled order: a bucket and a hash within it."""
+def sized(docs: DataFrame, whole: bool = False) -> DataFrame:
+    """doc_id, source, size (words), the shuffled order (a bucket and a hash within it) and a row number; whole: and doc, all columns of docs.
+
+    Written once, so that words are counted once and the row numbers stay.
+    """
     mark = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    return docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), mark.alias("mark"), F.substring(mark, 1, BUCKET_HEX).alias("bucket"))
+    doc = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")] if whole else []
+    return docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), mark.alias("mark"), F.substring(mark, 1, BUCKET_HEX).alias("bucket"), F.monotonically_increasing_id().alias("row"), *doc)
 
 
 def targets(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
@@ -59,9 +66,9 @@ def streams(docs: DataFrame) -> DataFrame:
     sums = docs.groupBy("source", "bucket").agg(F.sum("size").alias("n"))
     ahead = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select(F.col("source").alias("s"), F.col("bucket").alias("b"), F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("ahead"))
-    inside = Window.partitionBy("source", "bucket").orderBy("mark", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "bucket").orderBy("mark", "doc_id", "size", "row").rowsBetween(Window.unboundedPreceding, -1)
     docs = docs.withColumn("within", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    return docs.join(sums, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b"))).select("doc_id", "source", "size", (F.col("ahead") + F.col("within")).alias("start"))
+    return docs.join(sums, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b"))).select("doc_id", "source", "size", "row", (F.col("ahead") + F.col("within")).alias("start"))
 
 
 def plan_of(goals: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -81,8 +88,13 @@ def schedule(spark: SparkSession, plan: DataFrame, block: int = BLOCK) -> DataFr
     total = plan.agg(F.coalesce(F.max("all_slots"), F.lit(0))).first()[0]
     point = (F.col("id") + 1) * F.lit(GOLDEN)
     points = spark.range(total).select(F.col("id").alias("slot"), (point - F.floor(point)).alias("at"))
-    # one row a source: a table of bounded size
-    hit = points.join(F.broadcast(ranges), (F.col("at") >= F.col("low")) & (F.col("at") < F.col("high")))
+    # a point meets only the ranges of its cell: equal parts of the interval, as many as sources at least
+    sources = plan.count()
+    few, cells = sources <= FEW_SOURCES, F.lit(float(max(CELLS, 4 * sources)))
+    cell = lambda x: F.floor(F.least(x, F.lit(1 - 1e-12)) * cells)
+    spread = ranges.select("source", "slots", "low", "high", F.explode(F.sequence(cell(F.col("low")), cell(F.col("high")))).alias("cell"))
+    points = points.withColumn("cell", cell(F.col("at")))
+    hit = points.join(F.broadcast(spread) if few else spread, "cell").filter((F.col("at") >= F.col("low")) & (F.col("at") < F.col("high"))).drop("cell")
     hit = hit.withColumn("chunk", F.floor(F.col("slot") / CHUNK))
     per = hit.groupBy("source", "chunk").agg(F.count("*").alias("n"))
     ahead = per.withColumn("ahead", F.coalesce(F.sum("n").over(Window.partitionBy("source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
@@ -95,7 +107,7 @@ def schedule(spark: SparkSession, plan: DataFrame, block: int = BLOCK) -> DataFr
     short = ranges.join(got, F.col("source").eqNullSafe(F.col("s")), "left").withColumn("got", F.coalesce("got", F.lit(0))).filter("got < slots")
     rest = short.select("source", F.explode(F.sequence(F.col("got"), F.col("slots") - 1)).alias("rank"), "all_slots").select((F.col("all_slots") + F.col("rank")).alias("slot"), "source", "rank")
     facts = ranges.select(F.col("source").alias("s"), "source_size", "words", "blocks")
-    every = ranked.unionByName(rest).join(F.broadcast(facts), F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    every = ranked.unionByName(rest).join(F.broadcast(facts) if few else facts, F.col("source").eqNullSafe(F.col("s"))).drop("s")
     at = (F.col("rank") % F.col("blocks")).alias("block")
     every = every.select("slot", "source", at, (F.floor(F.col("rank") / F.col("blocks")) * F.col("source_size") + (F.col("rank") % F.col("blocks")) * block).alias("offset"), "words", "source_size")
     n = F.least(F.lit(block).cast("long"), F.col("source_size") - F.col("block") * block, F.col("words") - F.col("offset"))
@@ -103,23 +115,43 @@ def schedule(spark: SparkSession, plan: DataFrame, block: int = BLOCK) -> DataFr
 
 
 def pieces(spark: SparkSession, docs: DataFrame, goals: DataFrame, block: int = BLOCK) -> DataFrame:
-    """The mix, a row for each slot and document in it: slot, doc_id, source, size, start, first (word of the document), n. Documents of no slot: null slot, n 0."""
+    """The mix, a row for each slot and document in it: slot, row, doc_id, source, size, first (word of the document), n. Documents of no slot: null slot, n 0. docs: sized()."""
     slots = schedule(spark, plan_of(goals, block), block).select(F.col("source").alias("s"), F.col("block").alias("b"), "slot", F.col("n").alias("slot_n"))
     spread = streams(docs.filter("size > 0")).withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))))
     met = spread.join(slots, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b")), "left")
     low = F.greatest(F.col("block") * block, F.col("start"))
     n = F.when(F.col("slot").isNotNull(), F.greatest(F.lit(0), F.least(F.col("block") * block + F.col("slot_n"), F.col("start") + F.col("size")) - low))
-    return met.select("slot", "doc_id", "source", "size", "start", (low - F.col("start")).alias("first"), F.coalesce(n, F.lit(0)).cast("long").alias("n"))
+    return met.select("slot", "row", "doc_id", "source", "size", (low - F.col("start")).alias("first"), F.coalesce(n, F.lit(0)).cast("long").alias("n"))
+
+
+def _with_facts(rows: DataFrame, goals: DataFrame) -> DataFrame:
+    facts = goals.select(F.col("source").alias("s"), "source_size", "target")
+    return rows.join(F.broadcast(facts) if goals.count() <= FEW_SOURCES else facts, F.col("source").eqNullSafe(F.col("s"))).drop("s")
 
 
 def mixed(spark: SparkSession, documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, block: int = BLOCK) -> DataFrame:
     """doc_id, source, size, source_size, target, taken for each document."""
-    docs = sized(documents)
-    goals = targets(docs, weights, share, most)
-    taken = pieces(spark, docs, goals, block).groupBy("doc_id", "source", "size", "start").agg(F.sum("n").alias("taken")).drop("start")
+    docs = written(sized(documents), "sized")
+    goals = written(targets(docs, weights, share, most), "goals")
+    taken = pieces(spark, docs, goals, block).groupBy("doc_id", "source", "size", "row").agg(F.sum("n").alias("taken")).drop("row")
     none = docs.filter("size = 0").select("doc_id", "source", "size", F.lit(0).cast("long").alias("taken"))
-    facts = goals.select(F.col("source").alias("s"), "source_size", "target")
-    return taken.unionByName(none).join(F.broadcast(facts), F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    return _with_facts(taken.unionByName(none), goals)
+
+
+def corpus(spark: SparkSession, documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, block: int = BLOCK) -> DataFrame:
+    """The documents with all their columns, and their part of the mix: size, source_size, target, taken and slots.
+
+    slots: by slot, which words of the text (first, n) stand there; the mix is the words of all documents by slot and first.
+    What documents call size, source_size, target, taken or slots keeps its name, and ours get an underscore before it.
+    """
+    docs = written(sized(documents, whole=True), "sized")
+    goals = written(targets(docs.drop("doc"), weights, share, most), "goals")
+    every = pieces(spark, docs.drop("doc"), goals, block).filter("n > 0")
+    mine = every.groupBy("row").agg(F.sum("n").alias("taken"), F.sort_array(F.collect_list(F.struct("slot", "first", "n"))).alias("slots"))  # as many as a text has blocks
+    rows = docs.select("row", "source", "size", "doc").join(mine, "row", "left")
+    none = F.array().cast("array<struct<slot:bigint,first:bigint,n:bigint>>")
+    rows = _with_facts(rows.withColumns({"taken": F.coalesce("taken", F.lit(0).cast("long")), "slots": F.coalesce("slots", none)}), goals)
+    return rows.select("doc.*", *[F.col(c).alias(free_name(c, documents.columns)) for c in ("size", "source_size", "target", "taken", "slots")])
 
 
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

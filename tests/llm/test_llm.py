@@ -110,6 +110,31 @@ def test_mix_reaches_targets(spark):
     assert mix.mixed(spark, docs.limit(0)).count() == 0
 
 
+def test_mix_of_many_sources_and_its_order(spark):
+    rows = [(i, "w " * (20 + i * 37 % 90), f"host{i % 5000}") for i in range(10_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mix.mixed(spark, docs, block=16).toPandas()
+    for _, g in out.groupby("source"):
+        assert abs(g.taken.sum() - g.target.iloc[0]) <= 1
+    few = spark.createDataFrame([(i, f"{i} " * (5 + i % 7), "abc"[i % 3], "kept") for i in range(90)], "doc_id long, text string, source string, taken string")
+    mixed = mix.corpus(spark, few, block=8).collect()
+    assert {r.taken for r in mixed} == {"kept"} and sum(r._taken for r in mixed) == round(1.5 * sum(r._size if hasattr(r, "_size") else r.size for r in mixed))
+    at = sorted((s.slot, s.first, s.n, r.source, r._taken) for r in mixed for s in r.slots)
+    assert sum(n for _, _, n, _, _ in at) == sum(r._taken for r in mixed)
+    # equal-token blocks: no slot holds more than a block, one source a slot, and every stretch of slots is near the target weights
+    slots = {}
+    for slot, _, n, source, _ in at:
+        slots.setdefault(slot, [source, 0])
+        assert slots[slot][0] == source
+        slots[slot][1] += n
+    assert max(n for _, n in slots.values()) <= 8
+    target = {r.source: r.target for r in mixed}
+    order = [slots[k][0] for k in sorted(slots)]
+    for upto in (20, 40, len(order)):
+        for c in "abc":
+            assert abs(order[:upto].count(c) / upto - target[c] / sum(target.values())) < 0.12
+
+
 def test_lz_neighbours(spark):
     out = {r.doc_id: r for r in lz_fingerprint.compared(docs_of(spark, TEXTS)).collect()}
     order = sorted((x for x in TEXTS if x[0] is not None), reverse=True) + [(None, "lone words here")]
