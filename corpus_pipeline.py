@@ -36,7 +36,7 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mix.mixed(spark, docs)
+    return mix.corpus(spark, docs)
 
 
 STAGES = [
