@@ -1,21 +1,24 @@
 """Operator 7, toxicity by class-conditional Kneser-Ney models.
 
-Two models, of the words of toxic and of ordinary documents, give each word a log-likelihood per
-character. A word is a sequence of characters between marks, so unseen forms of a toxic stem are known
-by their beginning. Each class has its own counts up to ORDER characters; below SHARED characters both
-classes back off to the same counts, so what is rare in both says nothing.
-
-A document's features are length-normalised differences of the two log-likelihoods: over the whole text,
-over its most toxic word, and over its most toxic WINDOW words; one toxic sentence in a long text
-stays visible. A logistic regression on rows that the first models have not seen turns them into a score;
-then the models are counted again with those rows.
-
-Labels: at most FIT documents of each class, by a hash of doc_id (a documented bound for fitting; the
-counts come from Spark). Everything else covers whole texts of all documents.
-
-Defined results: null or empty text, or text without a letter: features 0, so a score below the
-threshold; null or conflicting labels: left out or toxic; no usable labels: score 0 for all; ties and
-repeated rows score alike; extra columns do not matter.
+Two kinds of models of toxic and of ordinary documents. A character model (orders 1 to ORDER) gives each word a
+log-likelihood per character; a word is a sequence of characters between marks, so unseen forms of a toxic stem are
+known by their beginning. A word model (orders 1 and 2) knows expressions of several words that are harmless one by one.
+Both are interpolated modified Kneser-Ney: the highest order counts occurrences, lower orders count continuations (the
+distinct left neighbours of a sequence; a sequence that begins a word or text has none, and counts occurrences). Each class
+has its own counts above SHARED characters or one word; below, both back off to the same counts of both classes
+together, so what is rare in both says nothing.
+
+A document's features are length-normalised differences of the two log-likelihoods: of characters over the whole text,
+over its most toxic word, the second, and its most toxic WINDOW words; of words over its most toxic WINDOW words. One
+toxic sentence in a long text stays visible. A logistic regression on rows that the first models have not seen turns
+them into a score; then the models are counted again with those rows.
+
+Labels: at most FIT documents of each class for characters, PAIRS for words, by a hash of doc_id, none of more than LONG
+bytes (documented bounds for fitting; the counts come from Spark). Everything else covers whole texts of all documents.
+
+Defined results: null or empty text, or text without a letter: features 0, so a score below the threshold; null or
+conflicting labels: left out or toxic; null doc_id: not labelled, not held out; no usable labels: score 0 for all; ties and
+repeated rows score alike; extra columns do not matter, and keep their names.
 """
 
 from __future__ import annotations
@@ -29,12 +32,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .kneser_ney import discounts, fold
-from .shared import small_batches, table
+from .shared import free_name, small_batches, table
 
-ORDER, SHARED, WINDOW, FIT, THRESHOLD = 5, 2, 8, 8_000, 0.3
+ORDER, SHARED, WINDOW, FIT, PAIRS, LONG, THRESHOLD = 5, 2, 8, 8_000, 1_500, 1 << 20, 0.3
 LETTERS = re.compile(r"[^\W\d_]+")
 CACHE = 300_000
 P = np.uint64(0x9E3779B97F4A7C15)
+BEGIN, STOP = 1, 2  # stand for the beginning and the end of a text among hashes of words
 
 
 def _codes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -56,124 +60,234 @@ def _gram_hashes(code: np.ndarray, order: int) -> np.ndarray:
     return h
 
 
-def gram_counts(words: list[str], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """order, hash of the gram, hash of its context, counts by class, for words with counts by class (n x classes)."""
+def gram_counts(words: list[str], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """order, hash of the gram, of its context (without the last character), of its end (without the first), counts by class, for words with counts by class (n x classes)."""
     code, place = _codes(words)
     size = np.fromiter((len(w) + 2 for w in words), np.int64, len(words))
     weight = np.repeat(counts, size, axis=0)
     out = []
     for k in range(1, ORDER + 1):
-        h, c = _gram_hashes(code, k), np.concatenate((np.zeros(1, np.uint64), _gram_hashes(code, k - 1)[:-1]))
+        h, end = _gram_hashes(code, k), _gram_hashes(code, k - 1)
+        c = np.concatenate((np.zeros(1, np.uint64), end[:-1]))
         ok = place >= max(1, k - 1)  # the first mark is given, not predicted
-        h, c, n = h[ok], c[ok], weight[ok]
+        h, c, end, n = h[ok], c[ok], end[ok], weight[ok]
         order = np.argsort(h, kind="stable")
         at = np.flatnonzero(np.append(True, h[order][1:] != h[order][:-1])) if len(h) else np.zeros(0, np.int64)
-        out.append((np.full(len(at), k), h[order][at], c[order][at], np.add.reduceat(n[order], at, axis=0) if len(at) else n))
+        out.append((np.full(len(at), k), h[order][at], c[order][at], end[order][at], np.add.reduceat(n[order], at, axis=0) if len(at) else n))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
+def pair_counts(texts: list[list[int]], counts: list[int], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """left word, word, counts by class (n x width) of the word pairs of texts of word hashes; counts: each text's class."""
+    left = np.concatenate([np.array([BEGIN, *t], np.uint64) for t in texts]) if texts else np.zeros(0, np.uint64)
+    word = np.concatenate([np.array([*t, STOP], np.uint64) for t in texts]) if texts else left
+    one = np.zeros((len(word), width), np.int64)
+    one[np.arange(len(word)), np.repeat(counts, [len(t) + 1 for t in texts])] = 1
+    order = np.lexsort((word, left))
+    left, word, one = left[order], word[order], one[order]
+    at = np.flatnonzero(np.append(True, (left[1:] != left[:-1]) | (word[1:] != word[:-1]))) if len(left) else np.zeros(0, np.int64)
+    return left[at], word[at], np.add.reduceat(one, at, axis=0) if len(at) else one
+
+
+class Level:
+    """One order of a model, in both classes: what each gram keeps of its count after the discount, and what contexts pass on."""
+
+    def __init__(self, gram: np.ndarray, context: np.ndarray, counts: np.ndarray):
+        by = np.argsort(gram)
+        self.gram, context, counts = gram[by], context[by], counts[by].astype(np.float64)
+        self.context, back = np.unique(context, return_inverse=True)
+        self.kept, self.total, self.rest = np.zeros_like(counts), np.zeros((len(self.context), 2)), np.zeros((len(self.context), 2))
+        for y in (0, 1):
+            whole = counts[:, y]
+            d = discounts(*[int((whole == i).sum()) for i in (1, 2, 3, 4)])
+            self.kept[:, y] = np.maximum(whole - np.where(whole > 0, d[np.minimum(whole, 3).astype(int)], 0), 0)
+            np.add.at(self.total[:, y], back, whole)
+            np.add.at(self.rest[:, y], back, whole - self.kept[:, y])
+
+    def over(self, p: np.ndarray, gram: np.ndarray, context: np.ndarray) -> np.ndarray:
+        """p (n x 2) of the order below, interpolated with this one."""
+        if not len(self.gram):
+            return p
+        j = np.minimum(np.searchsorted(self.context, context), len(self.context) - 1)
+        i = np.minimum(np.searchsorted(self.gram, gram), len(self.gram) - 1)
+        t = np.where((self.context[j] == context)[:, None], self.total[j], 0)
+        n = np.where((self.gram[i] == gram)[:, None], self.kept[i], 0)
+        return np.where(t > 0, (n + self.rest[j] * p) / np.maximum(t, 1e-9), p)
+
+
+def continuations(gram: np.ndarray, counts: np.ndarray, ends: np.ndarray, longer: np.ndarray) -> np.ndarray:
+    """Of grams: how many of the longer ones (by the hash of their end) each ends, by class; its count where none does."""
+    by = np.argsort(gram)
+    out = np.zeros((len(gram), longer.shape[1]))
+    at = by[np.minimum(np.searchsorted(gram[by], ends), max(len(gram) - 1, 0))] if len(gram) else np.zeros(0, np.int64)
+    ok = gram[at] == ends if len(gram) else np.zeros(len(ends), bool)
+    for y in range(longer.shape[1]):
+        np.add.at(out[:, y], at[ok], (longer[ok, y] > 0).astype(float))
+    return np.where(out > 0, out, counts)
+
+
+def both_classes(counts: np.ndarray) -> np.ndarray:
+    return np.repeat(counts.sum(axis=1, keepdims=True), 2, axis=1)
+
+
 class CharModel:
     """Log-likelihoods of characters in both classes, by interpolation from the shared lowest orders up."""
 
-    def __init__(self, order: np.ndarray, gram: np.ndarray, context: np.ndarray, counts: np.ndarray):
+    def __init__(self, order: np.ndarray, gram: np.ndarray, context: np.ndarray, end: np.ndarray, counts: np.ndarray):
+        at = [np.flatnonzero((order == k) & (counts.sum(axis=1) > 0)) for k in range(1, ORDER + 1)]
         self.levels = []
-        for k in range(1, ORDER + 1):
-            mine = order == k
-            g, c, n = gram[mine], context[mine], counts[mine].astype(np.float64)
-            by = np.argsort(g)
-            g, c, n = g[by], c[by], n[by]
-            if k <= SHARED:
-                n = np.repeat(n.sum(axis=1, keepdims=True), 2, axis=1)
-            ctx, back = np.unique(c, return_inverse=True)
-            total = np.zeros((len(ctx), 2))
-            rest = np.zeros((len(ctx), 2))
-            kept = np.zeros_like(n)
-            for y in (0, 1):
-                whole = n[:, y]
-                d = discounts(*[int((whole == i).sum()) for i in (1, 2, 3, 4)])
-                cut = np.where(whole > 0, d[np.minimum(whole, 3).astype(int)], 0)
-                kept[:, y] = np.maximum(whole - cut, 0)
-                np.add.at(total[:, y], back, whole)
-                np.add.at(rest[:, y], back, whole - kept[:, y])
-            self.levels.append((g, kept, ctx, total, rest))
-        self.letters = max(len(self.levels[0][0]), 1) + 1
-
-    def words(self, words: list[str]) -> np.ndarray:
-        """Per word: the difference of its two log-likelihoods, by character."""
+        for k, mine in enumerate(at, 1):
+            n = counts[mine]
+            if k < ORDER:
+                longer, ends = counts[at[k]], end[at[k]]
+                if k <= SHARED:
+                    n, longer = both_classes(n), both_classes(longer)
+                n = continuations(gram[mine], n, ends, longer)
+            self.levels.append(Level(gram[mine], context[mine], n))
+        self.letters = max(len(at[0]), 1) + 1
+
+    def probabilities(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """p by class of every character of ^word$, and its place in its word."""
         code, place = _codes(words)
         p = np.full((len(code), 2), 1 / self.letters)
-        for k, (g, kept, ctx, total, rest) in enumerate(self.levels, 1):
-            if not len(g):
-                continue
+        for k, level in enumerate(self.levels, 1):
             h, c = _gram_hashes(code, k), np.concatenate((np.zeros(1, np.uint64), _gram_hashes(code, k - 1)[:-1]))
             at = np.flatnonzero(place >= max(1, k - 1))
-            j = np.minimum(np.searchsorted(ctx, c[at]), len(ctx) - 1)
-            ok = ctx[j] == c[at]
-            at, j = at[ok], j[ok]
-            i = np.minimum(np.searchsorted(g, h[at]), len(g) - 1)
-            n = np.where((g[i] == h[at])[:, None], kept[i], 0)
-            t = total[j]
-            p[at] = np.where(t > 0, (n + rest[j] * p[at]) / np.maximum(t, 1e-9), p[at])
+            p[at] = level.over(p[at], h[at], c[at])
+        return p, place
+
+    def words(self, words: list[str]) -> np.ndarray:
+        """Per word: the difference of its two log-likelihoods, by character."""
+        p, place = self.probabilities(words)
         ratio = np.log(p[:, 1]) - np.log(p[:, 0])
         ratio[place == 0] = 0
         size = np.fromiter((len(w) + 2 for w in words), np.int64, len(words))
         return np.add.reduceat(ratio, np.cumsum(size) - size) / (size - 1)
 
 
+class WordModel:
+    """Log-likelihoods of words after words in both classes. Words are numbered: 0 is any that the model does not know."""
+
+    def __init__(self, left: np.ndarray, word: np.ndarray, counts: np.ndarray):
+        some = counts.sum(axis=1) > 0
+        left, word, counts = left[some], word[some], counts[some]
+        self.known = np.unique(np.concatenate((left, word)))
+        v, w = (np.searchsorted(self.known, x) + 1 for x in (left, word))
+        # one word: continuations by class, over those of both classes, over any word alike
+        alone, back = np.unique(w, return_inverse=True)
+        zero = np.zeros(len(alone), np.uint64)
+        seen = np.zeros((len(alone), 2))
+        np.add.at(seen, back, (counts > 0).astype(float))
+        every = np.zeros((len(alone), 2))
+        np.add.at(every, back, both_classes((counts.sum(axis=1, keepdims=True) > 0).astype(float)) if len(counts) else counts)
+        ids = np.arange(len(self.known) + 1, dtype=np.uint64)
+        p = np.full((len(ids), 2), 1 / (len(alone) + 1))
+        for n in (every, seen):
+            p = Level(alone.astype(np.uint64), zero, n).over(p, ids, np.zeros(len(ids), np.uint64))
+        self.one = p
+        self.two = Level(self.pairs(v, w), v.astype(np.uint64), counts)
+
+    @staticmethod
+    def pairs(v: np.ndarray, w: np.ndarray) -> np.ndarray:
+        return v.astype(np.uint64) << np.uint64(32) | w.astype(np.uint64)
+
+    def numbers(self, hashes: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.known, hashes), max(len(self.known) - 1, 0))
+        return np.where(self.known[at] == hashes, at + 1, 0) if len(self.known) else np.zeros(len(hashes), np.int64)
+
+    def probabilities(self, v: np.ndarray, w: np.ndarray) -> np.ndarray:
+        return self.two.over(self.one[w], self.pairs(v, w), v.astype(np.uint64))
+
+    def ratios(self, v: np.ndarray, w: np.ndarray) -> np.ndarray:
+        p = self.probabilities(v, w)
+        return np.log(p[:, 1]) - np.log(p[:, 0])
+
+
+def word_hash(w: str) -> int:
+    return xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"))
+
+
 class Ratios(dict):
-    """word -> its ratio, remembered for words seen before."""
+    """word -> a place in the arrays of ratios and of word numbers, remembered for words seen before."""
 
-    def __init__(self, model: CharModel):
+    def __init__(self, chars: CharModel, pairs: WordModel):
         super().__init__()
-        self.model = model
+        self.chars, self.pairs = chars, pairs
+        self.ratio, self.number = np.zeros(0), np.zeros(0, np.int64)
 
     def features(self, texts: list[str | None]) -> np.ndarray:
-        """Per text: the mean ratio, the largest, the second largest of another word, the largest mean over WINDOW words."""
+        """Per text, of the characters' ratios: the mean, the largest, the second largest of another word, the largest mean over WINDOW words; and that of the words' ratios."""
         split = [LETTERS.findall(x.lower()) if x else [] for x in texts]
         if len(self) > CACHE:
             self.clear()
+            self.ratio, self.number = np.zeros(0), np.zeros(0, np.int64)
         if new := list({w for ws in split for w in ws} - self.keys()):
-            for k in range(0, len(new), 50_000):
-                self.update(zip(new[k : k + 50_000], self.model.words(new[k : k + 50_000]).tolist(), strict=True))
-        out = np.zeros((len(texts), 4))
+            self.update(zip(new, range(len(self), len(self) + len(new)), strict=True))
+            self.ratio = np.concatenate((self.ratio, *(self.chars.words(new[k : k + 50_000]) for k in range(0, len(new), 50_000))))
+            self.number = np.concatenate((self.number, self.pairs.numbers(np.fromiter(map(word_hash, new), np.uint64, len(new)))))
+        begin, stop = (int(self.pairs.numbers(np.array([x], np.uint64))[0]) for x in (BEGIN, STOP))
+        out = np.zeros((len(texts), 5))
         for i, ws in enumerate(split):
             if ws:
-                r = np.fromiter(map(self.__getitem__, ws), np.float64, len(ws))
+                at = np.fromiter(map(self.__getitem__, ws), np.int64, len(ws))
+                r, number = self.ratio[at], self.number[at]
                 sums = np.concatenate((np.zeros(1), np.cumsum(r)))
                 span = min(WINDOW, len(r))
                 top = r.max()
                 second = r[r < top - 1e-12]
-                out[i] = r.mean(), top, second.max() if len(second) else top, (sums[span:] - sums[:-span]).max() / span
+                q = self.pairs.ratios(np.append(begin, number), np.append(number, stop))
+                both, wide = np.concatenate((np.zeros(1), np.cumsum(q))), min(WINDOW, len(q))
+                out[i] = r.mean(), top, second.max() if len(second) else top, (sums[span:] - sums[:-span]).max() / span, (both[wide:] - both[:-wide]).max() / wide
         return out
 
 
-def labelled(docs: DataFrame, labels: DataFrame, most: int = FIT) -> DataFrame:
-    """text, toxic, later of at most about `most` documents of each class; later: the third of rows that calibrates."""
+def labelled(docs: DataFrame, labels: DataFrame, most: int = FIT, pairs: int = PAIRS) -> DataFrame:
+    """text, toxic, later, paired of at most about `most` documents of each class; later: the third of rows that calibrates; paired: those whose word pairs count."""
     one = labels.filter("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     one = one.filter(F.coalesce(fold("doc_id", 4) != 2, F.lit(False)))
     sizes = {r["toxic"]: r["count"] for r in one.groupBy("toxic").count().collect() if r["toxic"] in (0, 1)}
-    share = F.lit(0.0)
+    share, fewer = F.lit(0.0), F.lit(0.0)
     for y, n in sizes.items():
         share = F.when(F.col("toxic") == y, F.lit(min(1.0, most / n))).otherwise(share)
-    one = one.filter((F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003) < share)
+        fewer = F.when(F.col("toxic") == y, F.lit(min(1.0, pairs / n))).otherwise(fewer)
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003
+    one = one.withColumn("paired", place < fewer).filter(place < share)
     # about 2 * most rows of an id and a label
-    return docs.join(F.broadcast(one), "doc_id").select(F.col("text").cast("string").alias("text"), F.col("toxic").cast("int").alias("toxic"), (fold("doc_id", 4) == 3).alias("later"))
+    met = docs.filter(F.coalesce(F.octet_length("text"), F.lit(0)) <= LONG).join(F.broadcast(one), "doc_id")
+    return met.select(F.col("text").cast("string").alias("text"), F.col("toxic").cast("int").alias("toxic"), (fold("doc_id", 4) == 3).alias("later"), "paired")
 
 
 def counted(rows: DataFrame) -> DataFrame:
-    """order, gram, context, and the counts n0, n1 (first rows), m0, m1 (later rows) of ordinary and toxic documents."""
+    """o (order; 0: a word pair), g, c, e and the counts n0, n1 (first rows), m0, m1 (later rows) of ordinary and toxic documents.
+
+    g, c, e: hashes of a gram, its context and its end; of a pair: 0, the left word and the word.
+    """
+    names = ["o", "g", "c", "e", "n0", "n1", "m0", "m1"]
+
+    def batch(order, gram, context, end, n):
+        return pa.RecordBatch.from_arrays([pa.array(order, pa.int32()), *(pa.array(x.view(np.int64)) for x in (gram, context, end)), *(pa.array(x) for x in n.T.astype(np.int64))], names)
+
     def grams(it):
         held: dict[str, list[int]] = {}
         for b in it:
-            for text, toxic, later in zip(*(b.column(c).to_pylist() for c in ("text", "toxic", "later")), strict=True):
-                for w in set(LETTERS.findall(text.lower())) if text else ():
+            texts, kinds = [], []
+            for text, toxic, later, paired in zip(*(b.column(c).to_pylist() for c in ("text", "toxic", "later", "paired")), strict=True):
+                ws = LETTERS.findall(text.lower()) if text else []
+                for w in set(ws):
                     held.setdefault(w, [0, 0, 0, 0])[2 * later + toxic] += 1
+                if paired and ws:
+                    texts.append([word_hash(w) for w in ws])
+                    kinds.append(2 * later + toxic)
+            if texts:
+                left, word, n = pair_counts(texts, kinds, 4)
+                yield batch(np.zeros(len(left), np.int32), np.zeros(len(left), np.uint64), left, word, n)
         if held:
-            order, gram, context, n = gram_counts(list(held), np.array(list(held.values())))
-            yield pa.RecordBatch.from_arrays([pa.array(order, pa.int32()), pa.array(gram.view(np.int64)), pa.array(context.view(np.int64)), *(pa.array(x) for x in n.T.astype(np.int64))], ["o", "g", "c", "n0", "n1", "m0", "m1"])
+            yield batch(*gram_counts(list(held), np.array(list(held.values()))))
 
-    each = rows.mapInArrow(grams, "o int, g long, c long, n0 long, n1 long, m0 long, m1 long")
-    return each.groupBy("o", "g").agg(F.first("c").alias("c"), *[F.sum(x).alias(x) for x in ("n0", "n1", "m0", "m1")])
+    each = rows.mapInArrow(grams, "o int, g long, c long, e long, n0 long, n1 long, m0 long, m1 long")
+    chars = each.filter("o > 0").groupBy("o", "g").agg(F.first("c").alias("c"), F.first("e").alias("e"), *[F.sum(x).alias(x) for x in names[4:]])
+    pairs = each.filter("o = 0").groupBy("o", "g", "c", "e").agg(*[F.sum(x).alias(x) for x in names[4:]])
+    return chars.select(names).unionByName(pairs.select(names))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -192,8 +306,8 @@ def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60) -> tuple[np.ndarray
 
 
 class Scorer:
-    def __init__(self, model: CharModel, fit: tuple[np.ndarray, np.ndarray, np.ndarray]):
-        self.model, self.fit = model, fit
+    def __init__(self, chars: CharModel, pairs: WordModel, fit: tuple[np.ndarray, np.ndarray, np.ndarray]):
+        self.chars, self.pairs, self.fit = chars, pairs, fit
 
     def scores(self, ratios: Ratios, texts: list[str | None]) -> np.ndarray:
         mean, dev, w = self.fit
@@ -201,45 +315,54 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(z @ w[:-1] + w[-1], -30, 30)))
 
 
+def models(order: np.ndarray, gram: np.ndarray, context: np.ndarray, end: np.ndarray, counts: np.ndarray) -> tuple[CharModel, WordModel]:
+    chars, pairs = order > 0, order == 0
+    return CharModel(order[chars], gram[chars], context[chars], end[chars], counts[chars]), WordModel(context[pairs], end[pairs], counts[pairs])
+
+
 def fit(docs: DataFrame, labels: DataFrame, most: int = FIT) -> Scorer | None:
     """None if the labels do not have both classes."""
     small_batches(docs.sparkSession)
     rows = labelled(docs, labels, most)
-    grams = counted(rows).toPandas()  # of a bounded number of documents
-    if not len(grams) or grams[["n0", "n1", "m0", "m1"]].sum().iloc[[0, 1]].min() == 0:
+    grams = counted(rows).toPandas()  # of a bounded number of documents of bounded length
+    if not len(grams) or grams[["n0", "n1"]].sum().min() == 0:
         return None
-    order, gram, context = grams["o"].to_numpy(), *(grams[c].to_numpy().view(np.uint64) for c in "gc")
+    given = grams["o"].to_numpy(), *(grams[c].to_numpy().view(np.uint64) for c in "gce")
     n, m = grams[["n0", "n1"]].to_numpy(), grams[["m0", "m1"]].to_numpy()
-    first = CharModel(order, gram, context, n)
-    sent = docs.sparkSession.sparkContext.broadcast(first)
+    sent = docs.sparkSession.sparkContext.broadcast(models(*given, n))
 
     def run(it):
-        r = Ratios(sent.value)
+        r = Ratios(*sent.value)
         for b in it:
             f = r.features(b.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in f.T), b.column("toxic")], ["f0", "f1", "f2", "f3", "toxic"])
+            yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in f.T), b.column("toxic")], ["f0", "f1", "f2", "f3", "f4", "toxic"])
 
-    seen = rows.filter("later").mapInArrow(run, "f0 double, f1 double, f2 double, f3 double, toxic int").toPandas()
+    seen = rows.filter("later").mapInArrow(run, "f0 double, f1 double, f2 double, f3 double, f4 double, toxic int").toPandas()
     y = seen["toxic"].to_numpy().astype(float)
     if len(set(y)) < 2:
         return None
-    return Scorer(CharModel(order, gram, context, n + m), logistic(seen[["f0", "f1", "f2", "f3"]].to_numpy(), y))
+    return Scorer(*models(*given, n + m), logistic(seen[["f0", "f1", "f2", "f3", "f4"]].to_numpy(), y))
 
 
-def scores(docs: DataFrame, scorer: Scorer | None) -> DataFrame:
-    """docs with a score (0 to 1); the text is the only input."""
+def scores(docs: DataFrame, scorer: Scorer | None, name: str = "score") -> DataFrame:
+    """docs with a score (0 to 1) under a name that docs do not have; the text is the only input."""
     if scorer is None:
-        return docs.withColumn("score", F.lit(0.0))
+        return docs.withColumn(name, F.lit(0.0))
     small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(scorer)  # a model of a bounded number of documents
-    given = docs.drop("score")
 
     def run(it):
-        r = Ratios(sent.value.model)
+        r = Ratios(sent.value.chars, sent.value.pairs)
         for b in it:
-            yield b.append_column("score", pa.array(sent.value.scores(r, b.column("text").to_pylist())))
+            yield b.append_column(name, pa.array(sent.value.scores(r, b.column("text").to_pylist())))
+
+    return docs.mapInArrow(run, docs.withColumn(name, F.lit(0.0)).schema)
+
 
-    return given.mapInArrow(run, given.withColumn("score", F.lit(0.0)).schema)
+def ordinary(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that score below the threshold, with all their columns."""
+    name = free_name("score", docs.columns)
+    return scores(docs, fit(docs, labels), name).filter(F.col(name) < THRESHOLD).drop(name)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

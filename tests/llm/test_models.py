@@ -60,6 +60,81 @@ def test_language_model_against_brute_force(spark):
     assert sum(p("begin", w) for w in [*unigrams, "unknown"]) == pytest.approx(1)
 
 
+def kneser_ney_by_definition(counts, seen_before, discount_of, low):
+    """p of each symbol after one context: counts {symbol: n}, discounted, over low {symbol: p}."""
+    total = sum(counts.values())
+    if not total:
+        return low
+    kept = {x: max(n - discount_of(n), 0) for x, n in counts.items()}
+    rest = total - sum(kept.values())
+    return {x: (kept.get(x, 0) + rest * low[x]) / total for x in low}
+
+
+def test_class_models_against_definitions():
+    given = [("abba", (2, 0)), ("abc", (1, 1)), ("cab", (0, 3)), ("bb", (1, 2)), ("abcab", (0, 1)), ("caba", (4, 0))]
+    order, gram, context, end, n = toxicity.gram_counts([w for w, _ in given], np.array([c for _, c in given]))
+    model = toxicity.CharModel(order, gram, context, end, n)
+    grams = defaultdict(lambda: [0, 0])
+    for w, c in given:
+        t = f"\x02{w}\x03"
+        for k in range(1, toxicity.ORDER + 1):
+            for i in range(max(1, k - 1), len(t)):
+                for y in (0, 1):
+                    grams[t[i + 1 - k : i + 1]][y] += c[y]
+
+    def count(g, y):
+        if len(g) < toxicity.ORDER:
+            left = [x for x in grams if len(x) == len(g) + 1 and x[1:] == g]
+            shared = len(g) <= toxicity.SHARED
+            if left and (m := sum((grams[x][0] + grams[x][1] if shared else grams[x][y]) > 0 for x in left)):
+                return m
+            return sum(grams[g]) if shared else grams[g][y]
+        return grams[g][y]
+
+    alphabet = sorted({g for g in grams if len(g) == 1})
+    size = len(alphabet) + 1
+    d = {(k, y): kneser_ney.discounts(*[sum(count(g, y) == i for g in grams if len(g) == k) for i in (1, 2, 3, 4)]) for k in range(1, toxicity.ORDER + 1) for y in (0, 1)}
+
+    def p(history, y):
+        out = dict.fromkeys([*alphabet, "?"], 1 / size)
+        for k in range(1, toxicity.ORDER + 1):
+            if k - 1 <= len(history):
+                c = history[len(history) - k + 1 :]
+                out = kneser_ney_by_definition({x: m for x in alphabet if (m := count(c + x, y))}, None, lambda m: d[k, y][min(m, 3)], out)
+        return out
+
+    for w in ("abba", "cabx", "bc", "zab"):
+        got, place = model.probabilities([w])
+        t = f"\x02{w}\x03"
+        for i in range(1, len(t)):
+            for y in (0, 1):
+                by = p(t[:i], y)
+                assert sum(by.values()) == pytest.approx(1)
+                assert got[i, y] == pytest.approx(by.get(t[i], by["?"]))
+
+
+def test_word_pairs_against_definitions():
+    texts = [([5, 6, 7, 5, 6], 0), ([5, 7], 0), ([6, 6, 7], 1), ([5, 6, 7], 1), ([8], 1), ([7, 5], 0)]
+    left, word, n = toxicity.pair_counts([t for t, _ in texts], [y for _, y in texts], 2)
+    model = toxicity.WordModel(left, word, n)
+    pairs = {y: Counter(x for t, k in texts if k == y for x in zip([1, *t], [*t, 2])) for y in (0, 1)}
+    both = pairs[0] + pairs[1]
+    words = sorted({w for _, w in both})
+    for y in (0, 1):
+        out = dict.fromkeys([*words, 0], 1 / (len(words) + 1))
+        for seen in (both, pairs[y]):
+            c = {w: m for w in words if (m := sum(x[1] == w for x in seen))}
+            d = kneser_ney.discounts(*[sum(m == i for m in c.values()) for i in (1, 2, 3, 4)])
+            out = kneser_ney_by_definition(c, None, lambda m: d[min(m, 3)], out)
+        d = kneser_ney.discounts(*[sum(m == i for m in pairs[y].values()) for i in (1, 2, 3, 4)])
+        for v in (1, 5, 6, 7, 8, 99):
+            full = kneser_ney_by_definition({w: m for (x, w), m in pairs[y].items() if x == v}, None, lambda m: d[min(m, 3)], out)
+            assert sum(full.values()) == pytest.approx(1)
+            number = lambda x: model.numbers(np.array(x, np.uint64))
+            got = model.probabilities(number([v] * (len(words) + 1)), number([*words, 99]))[:, y]
+            assert got == pytest.approx([full[w] for w in (*words, 0)])
+
+
 def test_toxicity_on_rows_held_out(spark):
     d = "/root/testdata/sf0.01"
     out = toxicity.op7_toxicity(spark, d).toPandas()
