@@ -15,8 +15,7 @@ from docloom.llm.shared import table, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scored = toxicity.scores(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
-    return scored.filter(F.col("score") < toxicity.THRESHOLD).drop("score")
+    return toxicity.ordinary(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
