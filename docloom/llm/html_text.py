@@ -1,16 +1,15 @@
 """Operator 9, HTML extraction by line-block distribution.
 
-A page is stripped of markup into lines, one for each block element. Lines of menus, headers, footers,
-sidebars, notices, adverts, forms and comments count no text; where such an element stands outside the
-article, BLOCK empty lines mark the break. The text lengths of BLOCK lines from each line on are summed:
-a sum that surges above the threshold opens a region at its first line with text, and a sum that dives to
-0 closes it. Regions inside one article or main element are one region. Where the article and main elements
-that surge (or else the one with most text) hold more than half of the text, they are kept; otherwise all
-lines are, short ones beside adverts and articles too.
-
-Defined results: null or empty html, or html without text: '' and 0; no article above the threshold:
-the one with most text; equal articles: the first; unclosed elements end with their parent; repeated
-rows give the same; extra columns do not matter.
+A page is stripped of markup into lines, one for each block element. Text of menus, headers, footers, sidebars,
+notices, adverts, forms and comments is left out; where the site's own parts (not adverts or forms within the text) stood,
+and at the border of article and main elements, BLOCK empty lines mark the break. Outside of these elements a line that is
+all links counts no text, as menus do. The text lengths of BLOCK lines from each line on are summed. Where a sum surges to
+SURGE characters a region is found; it reaches back to the line after the last sum of 0, and on to where the sum dives to
+0. The lines from the first region's surge to the last one's dive are kept, all that have text.
+
+Defined results: null or empty html, or html without text: '' and 0; no sum that surges: the region with most
+text, the first of equals; unclosed elements end with their parent; a tag whose quotes do not close ends at its first '>', and
+quotes are not heeded from there on; repeated rows give the same; an empty table gives no rows; extra columns do not matter.
 """
 
 from __future__ import annotations
@@ -31,13 +30,15 @@ BLOCK, SURGE = 3, 100  # lines in a sum; characters at which it opens a region
 BLOCKS = frozenset("address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead title tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea svg iframe object canvas math".split())
+#: Parts of the site, at which the text breaks off; the other dropped elements may stand within it.
+SITE = frozenset("nav header footer aside menu".split())
 DROPPED = frozenset("head title nav header footer aside form menu button select dialog".split())
 BAD = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|adbox|adsense|sponsor\w*|promo\w*|banner|nav|navbar|navigation|menu|breadcrumbs?|sidebar|footer|header|masthead|cookies?|consent|notice|notification|popup|modal|newsletter|subscribe|share|sharing|social|related|recommended|comments?|replies|respond|disqus|login|search|widget|pagination|pager|toolbar|skip|complementary|contentinfo)(?:$|[\s_-])", re.I)
 ALWAYS = frozenset("html body article main".split())
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 ENDS_P = BLOCKS - {"br", "option", "body", "html", "head"}
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?[A-Za-z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*>|</?[A-Za-z][^<]*\Z", re.S)
+QUOTE_OR_END = re.compile("[>\"']")
 NAME = re.compile(r"</?([A-Za-z][^\s/>]*)")
 MARKS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 HIDDEN = re.compile(r"\bhidden\b(?!\s*=)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
@@ -53,116 +54,162 @@ def dropped(name: str, tag: str) -> bool:
     return bool(HIDDEN.search(re.sub(r"\"[^\"]*\"|'[^']*'", lambda m: m.group() if "none" in m.group() or "true" in m.group() else '""', tag)))
 
 
-def lines(page: str) -> Iterator[tuple[str, int]]:
-    """(text, article) of every line: its text without markup, '' where it counts none, and the number of the article or main element it is in, 0 outside."""
-    open_: list[tuple[str, bool, int]] = []  # name, dropped, article
+def tags(page: str) -> Iterator[tuple[int, int]]:
+    """Start and end of every tag, comment and declaration, in one pass: what does not close is not searched for twice."""
+    at, quotes, size = page.find("<"), True, len(page)
+    while 0 <= at < size - 1:
+        end = None
+        nxt = page[at + 1]
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4) + 3
+        elif page.startswith("<![CDATA[", at):
+            end = page.find("]]>", at) + 3
+        elif nxt in "!?":
+            end = page.find(">", at) + 1
+        elif (nxt.isascii() and nxt.isalpha()) or (nxt == "/" and page[at + 2 : at + 3].isascii() and page[at + 2 : at + 3].isalpha()):
+            here = at + 1
+            while quotes and (m := QUOTE_OR_END.search(page, here)):
+                if m.group() == ">":
+                    end = m.end()
+                    break
+                here = page.find(m.group(), m.end()) + 1
+                if not here:
+                    break
+            if end is None:
+                quotes, end = False, page.find(">", at) + 1
+        if end is not None:
+            end = end if end > at else size  # to the end of the page
+            yield at, end
+            at = page.find("<", end)
+        else:
+            at = page.find("<", at + 1)
+
+
+Line = tuple[str, bool, bool, bool]  # text, in an article, all links, after a break
+
+
+def lines(page: str) -> Iterator[Line]:
+    open_: list[tuple[str, bool]] = []  # name, dropped
+    many: dict[str, int] = {}  # how many elements of a name are open
     buffer: list[str] = []
-    bad = article = articles = at = 0
+    bad = articles = at = links = free = 0  # free: characters of the line outside of links
+    broken = False
 
-    def flush() -> list[tuple[str, int]]:
+    def flush() -> list[Line]:
+        nonlocal broken, free
         text = " ".join(references.unescape("".join(buffer)).split())
+        linked, before = free == 0, broken
         buffer.clear()
-        return [(text, article)] if text else []
-
-    def close(upto: int) -> Iterator[tuple[str, int]]:
-        nonlocal bad, article
+        free = 0
+        if not text:
+            return []
+        broken = False
+        return [(text, articles > 0, linked, before)]
+
+    def close(upto: int) -> None:
+        nonlocal bad, articles, links, broken
         while len(open_) > upto:
-            name, was_bad, before = open_.pop()
+            name, was_bad = open_.pop()
+            many[name] -= 1
             bad -= was_bad
-            if was_bad and not bad and not article:
-                yield from [("", 0)] * BLOCK
+            links -= name == "a"
             if name in ("article", "main"):
-                article = before
-                if not article:
-                    yield from [("", 0)] * BLOCK
+                articles -= 1
+            if was_bad and not bad and not articles and name in SITE:
+                broken = True
 
-    while at <= len(page):
-        m = TOKEN.search(page, at)
-        raw = page[at : m.start() if m else len(page)]
+    for start, end in [*tags(page), (len(page), len(page))]:
+        if start < at:  # within a script or the like
+            continue
+        raw = page[at:start]
         if raw and not bad:
             buffer.append(raw)
-        if not m:
-            break
-        at, tag = m.end(), m.group()
+            free += 0 if links else len(raw.strip())
+        at, tag = end, page[start:end]
         if not (n := NAME.match(tag)):
             if tag.startswith("<![CDATA[") and not bad:
                 buffer.append(references.escape(tag[9:-3]))
+                free += len(tag) - 12
             continue
         name = n.group(1).lower()
         if tag.startswith("</"):
             if name in BLOCKS:
                 yield from flush()
-            for k in range(len(open_) - 1, -1, -1):
-                if open_[k][0] == name:
-                    yield from close(k)
-                    break
-                if open_[k][0] in ("article", "main", "td", "table") and name not in ("article", "main", "table", "body", "html", "div", "section"):
-                    break
+            if many.get(name):
+                for k in range(len(open_) - 1, -1, -1):
+                    if open_[k][0] == name:
+                        close(k)
+                        break
+                    if open_[k][0] in ("article", "main", "td", "table") and name not in ("article", "main", "table", "body", "html", "div", "section"):
+                        break
             continue
         if name in BLOCKS:
             yield from flush()
-            if name in ENDS_P and open_ and open_[-1][0] != name and any(x[0] == "p" for x in open_[-4:]) and name != "p":
-                k = max(i for i, x in enumerate(open_) if x[0] == "p")
-                if not any(x[0] in ("article", "main", "td", "div") for x in open_[k:]):
-                    yield from close(k)
-            if name in CLOSES and open_:
+            if name in ENDS_P and name != "p":
+                for k in range(len(open_) - 1, max(-1, len(open_) - 5), -1):
+                    if open_[k][0] in ("article", "main", "td", "div"):
+                        break
+                    if open_[k][0] == "p":
+                        close(k)
+                        break
+            if name in CLOSES:
                 for k in range(len(open_) - 1, max(-1, len(open_) - 4), -1):
                     if open_[k][0] in CLOSES[name]:
-                        yield from close(k)
+                        close(k)
                         break
                     if open_[k][0] in ("ul", "ol", "dl", "table", "article", "main", "div", "section", "td"):
                         break
         if name in VOID or tag.endswith("/>"):
             continue
         if name in RAW:
-            end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            found = re.compile(rf"</{re.escape(name)}\b", re.I).search(page, at)
+            at = (page.find(">", found.end()) + 1 or len(page)) if found else len(page)
             continue
-        is_bad = dropped(name, tag) and not (name == "header" and article)
+        is_bad = dropped(name, tag) and not (name == "header" and articles)
         if is_bad:
             yield from flush()
-            if not bad and not article:
-                yield from [("", 0)] * BLOCK
-        open_.append((name, is_bad, article))
+        if is_bad and not bad and not articles and name in SITE:
+            broken = True
+        open_.append((name, is_bad))
+        many[name] = many.get(name, 0) + 1
         bad += is_bad
-        if name in ("article", "main") and not article and not bad:
-            yield from [("", 0)] * BLOCK
-            articles += 1
-            article = articles
+        links += name == "a"
+        articles += name in ("article", "main")
     yield from flush()
 
 
-def regions(page: list[tuple[str, int]], surge: int = SURGE) -> list[int]:
-    """The lines that are kept."""
-    sizes = [len(t) for t, _ in page]
+def regions(page: list[Line], surge: int = SURGE) -> tuple[int, int]:
+    """The first line that is kept, and the one after the last."""
+    sizes, where = [], []
+    for k, (text, article, linked, after) in enumerate(page):
+        if k and (after or article != page[k - 1][1]):
+            sizes += [0] * BLOCK
+            where += [k] * BLOCK
+        sizes.append(0 if linked and not article else len(text))
+        where.append(k)
     sums = [sum(sizes[i : i + BLOCK]) for i in range(len(sizes))]
-    found: list[tuple[int, int, bool]] = []
+    found: list[tuple[int, int, int, int]] = []  # start, dive, highest sum, text
     i = 0
-    while i < len(sizes):
+    while i < len(sums):
         if not sums[i]:
             i += 1
             continue
-        j, peak = i, 0
-        while j < len(sizes) and sums[j]:  # until the sum dives to 0
-            peak = max(peak, sums[j])
-            j += 1
-        found.append((i, j, peak >= surge))
-        i = j
-    inside = {page[k][1] for a, b, ok in found if ok for k in range(a, b) if page[k][1]}
-    if not inside and (total := {n: sum(s for s, (_, m) in zip(sizes, page, strict=True) if m == n) for n in {m for _, m in page} - {0}}):
-        # short articles: an article element is one all the same
-        if max(total.values()):
-            inside = {min(total, key=lambda n: (-total[n], n))}
-    if 2 * sum(s for s, (_, m) in zip(sizes, page, strict=True) if m in inside) > sum(sizes):  # 0 is in none
-        return [k for k in range(len(page)) if page[k][1] in inside and sizes[k]]
-    return [k for k in range(len(page)) if sizes[k]]
+        start, top = i, 0
+        while i < len(sums) and sums[i]:
+            top = max(top, sums[i])
+            i += 1
+        first = next(k for k in range(start, i) if sizes[k])
+        found.append((first, i, top, sum(sizes[first:i])))
+    kept = [x for x in found if x[2] >= surge] or [max(found, key=lambda x: x[3])] if found else []
+    return (where[kept[0][0]], where[kept[-1][1] - 1] + 1) if kept else (0, 0)
 
 
 def main_text(page: str | None) -> str:
     if not page:
         return ""
     found = list(lines(page))
-    return " ".join(found[k][0] for k in regions(found))
+    first, after = regions(found)
+    return " ".join(line[0] for line in found[first:after])
 
 
 def extracted(pages: DataFrame) -> DataFrame:

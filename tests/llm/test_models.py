@@ -2,8 +2,11 @@
 
 import hashlib
 import math
+import re
+import time
 import zlib
 from collections import Counter, defaultdict
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -178,6 +181,87 @@ def test_pages_as_articles(spark):
     assert not out.text.str.contains(r"<(?:div|p|span|script|a)\b|  ", regex=True).any()
 
 
+class Slow(HTMLParser):
+    """Lines of a page by another parser, and only by what the given pages have."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.lines, self.text, self.off, self.article, self.broken = [], "", [], False, False
+
+    def line(self):
+        if text := " ".join(self.text.split()):
+            self.lines.append((text, self.article, self.broken))
+            self.broken = False
+        self.text = ""
+
+    def handle_starttag(self, tag, attrs):
+        if tag in html_text.BLOCKS:
+            self.line()
+        if tag in ("head", "nav", "footer", "script", "style") or dict(attrs).get("class") == "ad":
+            self.off.append(tag)
+            self.broken |= tag in ("nav", "footer")
+        self.article |= tag == "article"
+
+    def handle_endtag(self, tag):
+        if tag in html_text.BLOCKS:
+            self.line()
+        if self.off and self.off[-1] == tag:
+            self.off.pop()
+        self.article &= tag != "article"
+
+    def handle_data(self, data):
+        self.text += "" if self.off else data
+
+
+def slow_text(page):
+    s = Slow()
+    s.feed(page)
+    s.close()
+    s.line()
+    sizes = []
+    for k, (text, article, broken) in enumerate(s.lines):
+        sizes += ([0] * html_text.BLOCK if k and (broken or article != s.lines[k - 1][1]) else []) + [len(text)]
+    sums = [sum(sizes[i : i + html_text.BLOCK]) for i in range(len(sizes))]
+    surges = [i for i, x in enumerate(sums) if x >= html_text.SURGE]
+    if not surges:
+        return None
+    first, last = surges[0], surges[-1]
+    while first and sums[first - 1]:
+        first -= 1
+    while last + 1 < len(sums) and sums[last + 1]:
+        last += 1
+    places = [i for i, x in enumerate(sizes) if x]
+    return " ".join(t for i, (t, _, _) in zip(places, s.lines) if first <= i <= last)
+
+
+def test_pages_against_a_slow_parse(spark):
+    pages = [r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
+    told = [(slow_text(p), html_text.main_text(p), html_text.main_text(re.sub(r"(</?)article\b", r"\1div", p))) for p in pages]
+    assert sum(a is not None for a, _, _ in told) >= 0.9 * len(told)
+    assert all(a is None or a == b for a, b, _ in told) and sum(b == c for _, b, c in told) >= 0.98 * len(told)
+
+
+def test_surge_and_dive_decide():
+    body = "words of the body " * 20
+    page = f"<nav>menu</nav><div>Read this today</div><nav>more</nav><div><p>{body}</p><p>short</p></div><footer>f</footer><div>small print</div>"
+    kept = {}
+    for surge in (1, 20, html_text.SURGE):
+        lines = list(html_text.lines(page))
+        a, b = html_text.regions(lines, surge)
+        kept[surge] = [t for t, *_ in lines[a:b]]
+    assert kept[1] == ["Read this today", body.strip(), "short", "small print"]
+    assert kept[html_text.SURGE] == kept[20] == [body.strip(), "short"]
+    links = "".join(f"<li><a href=x>{'a link of a menu ' * 8}</a></li>" for _ in range(9))
+    assert html_text.main_text(f"<ul>{links}</ul><header>h</header><p>{body}</p>") == body.strip()
+
+
+@pytest.mark.parametrize("page", ['<a href="x ' * 100_000, "<p class='" * 100_000, "<!-- " * 200_000, "<script " * 150_000 + "</script " * 100_000, "<b>" * 200_000 + "</i>" * 200_000, "<div>" * 100_000 + "x"])
+def test_broken_pages_take_linear_time(page):
+    began = time.time()
+    html_text.main_text(page)
+    assert time.time() - began < 5
+
+
 def test_phrases_against_a_step_by_step_parse():
     def plain(text):
         seen, ends, start = set(), [], 0
