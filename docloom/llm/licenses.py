@@ -3,15 +3,18 @@
 A paragraph is a run of lines with words, joined (marks of comments hold no words); each of its lines is judged
 too, so that a notice of one line is not thinned by its neighbours. What is judged (of more than SPAN words,
 stretches of SPAN that overlap by half) is the set of its hashed word 1- and 2-grams; a multinomial logistic regression with sparse weights gives each licence family, an unknown licence and plain text a probability.
-It is trained on the driver from the templates below (a small table, varied by rule) and on plain lines drawn
-from the corpus (at most PLAIN lines, by hash: a documented bound for fitting). A temperature
-calibrates the probabilities on lines left out of the training. A family whose probability reaches SURE is
+It is trained on the driver from the templates below (a small table, varied by rule) and on plain stretches drawn from
+the corpus (PLAIN at most, by hash, of lines of any length: a documented bound for fitting). A stretch is plain if no
+template is like it (below FAR), whatever its words. A temperature calibrates the probabilities on templates (with all
+their variants) and plain stretches left out of that training; then all are fitted. A family whose probability reaches SURE is
 confirmed by comparison with its templates: the part of the best template's words that the paragraph
-has, in order. A heading (a licence by name only) is compared with short lines only. Where words of several families
+has, in order (ALIKE); the likeliest family below SURE needs a whole template (WHOLE). A heading (a licence by name only) is compared with short lines only. Where words of several families
 meet, each family is judged without the others' own words, and all that are confirmed are given.
-What is licence text but matches no template well enough, and meets no confirmed family, is 'unknown'.
+What is licence text with two words of templates but matches no template well enough, and meets no confirmed family,
+is 'unknown'.
 
-Defined results: null or empty texts: no paragraphs, no families; ties: the first family by name; repeated
+Only stretches with two words of templates (short lines: one) are judged: others match no template, and a test
+judges all of them to the same result. Defined results: null or empty texts: no paragraphs, no families; ties: the first family by name; repeated
 rows give the same; extra columns do not matter.
 """
 
@@ -28,9 +31,11 @@ from pyspark.sql import functions as F
 
 from .shared import small_batches, table
 
-SURE, ALIKE, UNKNOWN_AT = 0.6, 0.55, 0.6
+#: SURE: more likely than all other licences together
+SURE, ALIKE, WHOLE, UNKNOWN_AT = 0.5, 0.55, 0.95, 0.6
 WIDTH = 1 << 15
 SPAN = 40  # words of a line that are judged at once
+FAR = 0.3  # a stretch less like every template than this is plain
 PLAIN = 1_500
 WORD = re.compile(r"[^\W_]+(?:[.'-][^\W_]+)*")
 
@@ -55,6 +60,8 @@ HEADINGS = {
     "proprietary": (),
 }
 NAMED = 4
+# Words of templates that tell nothing of a licence; others beside them must.
+COMMON = frozenset("a an and any are as be by can for from have in is it may no not of on or that the this to under with you".split())
 # Marks of comments that are words.
 COMMENT = re.compile(r"^[^\S\n]*@?(?:rem|dnl)(?=[^\S\n])", re.I | re.M)
 # Licences of no family above, and plain sentences that talk like one.
@@ -81,17 +88,17 @@ def grams(ws: list[str]) -> np.ndarray:
     return np.unique(np.concatenate((h, two)) % np.uint64(WIDTH)).astype(np.int64)
 
 
-def examples() -> list[tuple[str, int]]:
-    """The templates, and each with words left out, joined or put into other text, by rule."""
+def examples() -> list[tuple[str, int, int]]:
+    """The templates, and each with words left out, joined or put into other text, by rule; class, and number of the template."""
     r, out = np.random.default_rng(11), []
     groups = [(t, FAMILIES.index(f)) for f in FAMILIES for t in TEMPLATES[f]] + [(t, CLASSES.index("unknown")) for t in OTHER] + [(t, CLASSES.index("plain")) for t in TALK]
-    for text, y in groups:
+    for k, (text, y) in enumerate(groups):
         ws = text.split()
-        out.append((text, y))
+        out.append((text, y, k))
         for _ in range(7):
             keep = [w for w in ws if r.random() > 0.08]
             before = ["".join(r.choice(list("abdehinorst"), int(r.integers(2, 9)))) for _ in range(int(r.integers(0, 18)))]
-            out.append((" ".join(before + keep + before[::-1]), y))
+            out.append((" ".join(before + keep + before[::-1]), y, k))
     return out
 
 
@@ -106,13 +113,9 @@ class Classifier:
         return z / z.sum(axis=1, keepdims=True)
 
 
-def train(plain: list[str], rounds: int = 200) -> Classifier:
-    """Soft-max regression with ridge and small weights set to 0; every fifth example calibrates."""
-    table = [(t, y) for t, y in examples()] + [(t, CLASSES.index("plain")) for t in plain]
-    table = [(grams(w), y) for t, y in table if (w := words(t))]
-    held = [i % 5 == 4 for i in range(len(table))]
-    fit_, rest = ([x for x, h in zip(table, held, strict=True) if h == k] for k in (False, True))
-    sets, y = [s for s, _ in fit_], np.array([k for _, k in fit_])
+def fitted(table: list[tuple[np.ndarray, int]], rounds: int) -> np.ndarray:
+    """Weights of a soft-max regression with ridge; small ones are 0."""
+    sets, y = [s for s, _ in table], np.array([k for _, k in table])
     sizes = np.array([len(s) for s in sets])
     used, idx = np.unique(np.concatenate(sets), return_inverse=True)
     by = np.argsort(idx, kind="stable")
@@ -134,9 +137,18 @@ def train(plain: list[str], rounds: int = 200) -> Classifier:
     w[np.abs(w) < 0.01] = 0
     full = np.zeros((WIDTH, len(CLASSES)))
     full[used] = w
+    return full
+
+
+def train(plain: list[str], rounds: int = 150) -> Classifier:
+    """Every fourth template of a family and every fourth plain stretch calibrate, then all are fitted."""
+    some = [(t, y, k) for t, y, k in examples()] + [(t, CLASSES.index("plain"), i) for i, t in enumerate(plain)]
+    some = [(grams(w), y, k % 4 == 3) for t, y, k in some if (w := words(t))]
+    rest = [(g, y) for g, y, held in some if held]
+    first = fitted([(g, y) for g, y, held in some if not held], rounds)
     heats = np.array([0.5, 0.7, 1.0, 1.4, 2.0])
-    loss = [-np.log(Classifier(full, h).probabilities([s for s, _ in rest])[np.arange(len(rest)), [k for _, k in rest]] + 1e-9).mean() for h in heats]
-    return Classifier(full, float(heats[int(np.argmin(loss))]))
+    loss = [-np.log(Classifier(first, h).probabilities([g for g, _ in rest])[np.arange(len(rest)), [y for _, y in rest]] + 1e-9).mean() for h in heats]
+    return Classifier(fitted([(g, y) for g, y, _ in some], rounds), float(heats[int(np.argmin(loss))]))
 
 
 def in_order(template: list[str], ws: list[str]) -> float:
@@ -190,9 +202,9 @@ def judged(p: np.ndarray, ws: list[str], i: int, j: int) -> tuple[str, float, fl
     if licence < UNKNOWN_AT:
         return None
     alike = likeness(FAMILIES[k], ws, i, j)
-    if p[k] / licence >= SURE and alike >= ALIKE:
+    if alike >= (ALIKE if p[k] / licence >= SURE else WHOLE):
         return FAMILIES[k], float(p[k]), alike
-    return "unknown", float(p[CLASSES.index("unknown")]), alike
+    return ("unknown", float(p[CLASSES.index("unknown")]), alike) if len(speaking_words().intersection(ws[i:j])) > 1 else None
 
 
 def judged_all(model: Classifier, p: np.ndarray, ws: list[str], i: int, j: int) -> list[tuple[str, float, float]]:
@@ -215,12 +227,11 @@ def judged_all(model: Classifier, p: np.ndarray, ws: list[str], i: int, j: int)
     return list(out.values()) or ([first] if first else [])
 
 
-def signal(model: Classifier) -> frozenset[str]:
-    """The words of all templates that speak for any licence at all; words without two of them are plain."""
-    known = {w for t in (*OTHER, *(t for ts in TEMPLATES.values() for t in ts)) for w in words(t)}
-    plain = CLASSES.index("plain")
-    margin = np.delete(model.weights, plain, axis=1).max(axis=1) - model.weights[:, plain]
-    return frozenset(w for w in known if margin[_hash(w) % WIDTH] > 0.5)
+@lru_cache
+def speaking_words() -> frozenset[str]:
+    """The words of all templates and headings."""
+    every = (*OTHER, *(t for ts in (*TEMPLATES.values(), *HEADINGS.values()) for t in ts))
+    return frozenset(w for t in every for w in words(t)) - COMMON
 
 
 def paragraphs(ws: list[str], speaks: frozenset[str]) -> list[tuple[int, int]]:
@@ -247,15 +258,11 @@ def in_paragraph(model: Classifier, speaks: frozenset[str], given: list[tuple[in
         return []
     speaking = [(a, b) for a, b in own if paragraphs(ws[a:b], speaks)]
     pieces: list[list] = []
-    told: list[tuple[int, int, str]] = []  # lines that are licence text by themselves, and as what
     for (i, j, a, b), p in zip(work, model.probabilities([grams(ws[i:j]) for i, j, _, _ in work]), strict=True):
         for v in judged_all(model, p, ws[a:b], i - a, j - a):
             at, end = i, j
-            if (a, b) in own:
-                told.append((a, b, v[0]))
-            else:  # plain lines at the ends do not belong to it
-                alone = [(x, y) for x, y, f in told if x < j and y > i]
-                by = alone if any(x < j and y > i and f == v[0] for x, y, f in told) else [x for x in speaking if x[0] < j and x[1] > i]
+            if (a, b) not in own:  # plain lines at the ends do not belong to it
+                by = [x for x in speaking if x[0] < j and x[1] > i]
                 if by:
                     at, end = max(i, min(x for x, _ in by)), min(j, max(y for _, y in by))
             pieces.append([at, end, *v])
@@ -288,18 +295,32 @@ def notices(model: Classifier, speaks: frozenset[str], text: str) -> list[list]:
     return out + (in_paragraph(model, speaks, given) if given else [])
 
 
+def plain_stretches(some: DataFrame, most: int) -> list[str]:
+    """Of a bounded sample of documents, at most `most` stretches that no template is like, by their hash."""
+    every = [t for f in FAMILIES for t in (*template_words(f), *heading_words(f))] + [words(t) for t in OTHER]
+
+    def run(it):
+        for b in it:
+            out = []
+            for text in b.column("text").to_pylist():
+                ws = words(text or "")
+                for i in range(0, len(ws), SPAN):
+                    if max(in_order(t, ws[i : i + SPAN]) for t in every) < FAR:
+                        out.append(" ".join(ws[i : i + SPAN]))
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["t"])
+
+    return [r["t"] for r in some.select("text").mapInArrow(run, "t string").orderBy(F.xxhash64("t"), "t").limit(most).collect()]
+
+
 def scan(docs: DataFrame, plain_rows: int = PLAIN) -> DataFrame:
     """doc_id, start, end (code points), family, probability, likeness: a row for each stretch of text with a licence."""
     spark = docs.sparkSession
     small_batches(spark)
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     total = given.count()
-    # a bounded sample of plain lines, to fit on
-    some = given.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003 < min(1.0, plain_rows / max(total, 1))).select(F.explode(F.slice(F.split("text", "\n"), 1, 3)).alias("t"))
-    licence = "(?i)licen[sc]e|copyright|rights reserved|spdx|creative commons|\\bCC BY"
-    plain = [r["t"] for r in some.filter(~F.col("t").rlike(licence) & (F.length("t") < 400)).orderBy(F.xxhash64("t"), "t").limit(plain_rows).collect()]
-    model = train(plain)
-    sent = spark.sparkContext.broadcast((model, signal(model)))  # of fixed size
+    share = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003 < min(1.0, plain_rows / max(total, 1))
+    model = train(plain_stretches(given.filter(F.coalesce(share, F.lit(False))), plain_rows))
+    sent = spark.sparkContext.broadcast((model, speaking_words()))  # of fixed size
 
     def run(it):
         model, speaks = sent.value

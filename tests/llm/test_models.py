@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from docloom.llm import decontaminate, html_text, kneser_ney, lz_fingerprint, pii, toxicity
+from docloom.llm import decontaminate, html_text, kneser_ney, licenses, lz_fingerprint, pii, toxicity
 
 SF = "/root/testdata/sf0.001"
 
@@ -181,6 +181,55 @@ def test_pages_as_articles(spark):
     assert not out.text.str.contains(r"<(?:div|p|span|script|a)\b|  ", regex=True).any()
 
 
+def test_licence_notices_held_out(spark):
+    """Notices in words that are no template's, wrapped and among plain text; exact templates in many documents."""
+    notices = {
+        "apache": ["Licensed under the Apache License, Version 2.0 (the License); you may not use these files except in compliance with it.", "This library is licensed under the Apache License, Version 2.0.", "The code is released under the Apache 2.0 license."],
+        "bsd": ["Redistributions and use in source and binary forms, with or without modification, are permitted provided that the conditions below are met:", "This code is governed by a BSD-style license that can be found in the LICENSE file.", "Licensed under the BSD 2-Clause License."],
+        "cc": ["The text is licensed under a Creative Commons Attribution 4.0 International License.", "Photos are licensed under CC BY-SA 4.0."],
+        "gpl": ["This library is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.", "Licensed under the GNU General Public License, version 2."],
+        "mit": ["Permission is hereby granted, free of charge, to any person obtaining a copy of this program and associated files, to deal in the program without restriction", "The software is distributed under the MIT license.", "Available under the MIT License."],
+        "mpl": ["This file is subject to the terms of the Mozilla Public License, v. 2.0.", "Licensed under the Mozilla Public License, version 2.0, as it is."],
+        "proprietary": ["Copyright 2019 by its owners. All rights reserved.", "No part of this book may be reproduced without prior written permission of the publisher."],
+    }
+    r, rows, want = np.random.default_rng(9), [], {}
+    plain = [x.text for x in spark.read.parquet(f"{SF}/documents.parquet").filter("length(text) > 300").orderBy("doc_id").limit(120).collect()]
+    plain = [t for t in plain if not re.search("(?i)licen[sc]e|rights|copyright|CC BY|spdx|permission", t)]
+    for f, texts in notices.items():
+        for text in texts:
+            for width in (0, 40, 72):
+                ws = text.split()
+                lines, line = [], ""
+                for w in ws:
+                    if width and len(line) + len(w) > width:
+                        lines.append(line)
+                        line = ""
+                    line = f"{line} {w}".strip()
+                around = [str(x) for x in r.choice(plain, 2)]
+                mark = ("# ", "// ", "")[len(rows) % 3]
+                want[len(rows)] = f
+                rows.append((len(rows), f"{around[0]}\n\n" + "\n".join(mark + x for x in [*lines, line]) + f"\n\n{around[1]}"))
+    exact = range(1000, 1030)
+    rows += [(i, licenses.TEMPLATES["mit"][2]) for i in exact] + [(2000 + i, t) for i, t in enumerate(plain)]
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).toPandas()
+    found = got.groupby("doc_id").family.agg(set).to_dict()
+    assert all(found.get(i) == {"mit"} for i in exact)
+    right = sum(want[i] in found.get(i, ()) for i in want)
+    wrong = sum(len(found.get(i, set()) - {want[i]}) for i in want) + sum(len(x) for i, x in found.items() if i >= 2000)
+    assert right / len(want) >= 0.9 and right / (right + wrong) >= 0.9, (right, wrong, len(want))
+
+
+def test_licences_without_the_word_gate(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    texts = [r.text for r in docs.orderBy("doc_id").collect()]
+    model = licenses.train([t[:200] for t in texts[:40] if t and not re.search("(?i)licen|rights", t)])
+    speaks = licenses.speaking_words()
+    families = lambda speaks: [sorted(n[2] for n in licenses.notices(model, speaks, t)) for t in texts if t]
+    gated = families(speaks)
+    monkeypatch.setattr(licenses, "paragraphs", lambda ws, _: [(i, min(i + licenses.SPAN, len(ws))) for i in range(0, max(len(ws) - licenses.SPAN // 2, 1), licenses.SPAN // 2)])
+    assert gated == families(frozenset(w for t in texts if t for w in licenses.words(t))) and sum(map(len, gated)) >= 5
+
+
 class Slow(HTMLParser):
     """Lines of a page by another parser, and only by what the given pages have."""
 
