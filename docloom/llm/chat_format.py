@@ -104,11 +104,23 @@ LAYOUTS = (
 BY_FINGERPRINT = {fingerprint(s): x for x in LAYOUTS for s in x.shapes()}
 
 
+def alike(kind: T.DataType, wanted: T.DataType) -> bool:
+    """The same nested paths; a map is no scalar."""
+    return fingerprint(kind) == fingerprint(wanted) and not isinstance(kind, T.MapType)
+
+
 def layout_of(df: DataFrame) -> Layout | None:
-    """The layout of a table: of the columns that some layout names, the hash; the rest are extra columns."""
-    known = {f.name for x in LAYOUTS for f in x.shape}
-    exact = T.StructType([f for f in df.schema if f.name in known])
-    return BY_FINGERPRINT.get(fingerprint(exact))
+    """The first layout whose fields the table has, by the hash of those columns; all others are extra columns.
+
+    A column that another layout names, or has another shape than the layout's, changes nothing.
+    """
+    for x in LAYOUTS:
+        names = {f.name for f in x.shape}
+        have = [f for f in df.schema if f.name in names]
+        without = [f for f in have if f.name not in x.optional or alike(f.dataType, x.shape[f.name].dataType)]
+        if BY_FINGERPRINT.get(fingerprint(T.StructType(without))) is x:
+            return x
+    return None
 
 
 def turns_from_json(df: DataFrame, record: str, out: str = "turns") -> DataFrame:
@@ -130,9 +142,9 @@ def canonical_rows(df: DataFrame) -> DataFrame:
     if layout is None:
         raise ValueError(f"no layout has the fields {paths_of(df.schema)}")
     if layout.turns is None:
-        return df.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text")
-    have = {f.name for f in df.schema}
-    record = F.struct(*[(F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in layout.shape])
+        return df.select("conv_id", F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
+    have = {f.name for f in df.schema if f.name in layout.shape.names and alike(f.dataType, layout.shape[f.name].dataType)}
+    record = F.struct(*[(F.col(f.name).cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in layout.shape])
     each = df.select("conv_id", F.posexplode(layout.turns(record)).alias("turn", "t"))
     return each.select("conv_id", F.col("turn").cast("long").alias("turn"), "t.role", "t.text")
 
