@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from .shared import WordHashes, mixed, new_folder, shuffle_partitions, small_batches, table, words_of
 
+BUCKET = 2_000_000  # tokens that a bucket holds about
 FLUSH = 4_000_000  # tokens that a task counts before it sends
 BITS = np.uint64((1 << 48) - 1)
 BEGIN, STOP = np.uint64(1), np.uint64(2)
@@ -141,8 +142,11 @@ def load(folder: str, name: str) -> np.ndarray | None:
     if fs.get_file_info(path).type == pyarrow.fs.FileType.NotFound:
         return None
     if not isinstance(fs, pyarrow.fs.LocalFileSystem):
-        with fs.open_input_stream(path) as f, open(path := f"{tempfile.mkdtemp()}/a.npy", "wb") as out:
-            out.write(f.read())
+        with fs.open_input_stream(path) as f, tempfile.NamedTemporaryFile(suffix=".npy") as copy:
+            while block := f.read(1 << 24):
+                copy.write(block)
+            copy.flush()
+            return np.load(copy.name, mmap_mode="r")  # the mapping outlives the name, and goes with the worker
     return np.load(path, mmap_mode="r")
 
 
@@ -173,7 +177,8 @@ def bigram_files(rows: DataFrame, folder: str, parts: int) -> DataFrame:
     """
     def send(word: np.ndarray, facts: list[np.ndarray], counts: np.ndarray) -> pa.RecordBatch:
         part = bucket_of(word << np.uint64(16), parts).astype(np.int64)
-        packed = np.stack(facts, 1).astype("<u4")
+        packed = np.stack(facts, 1)
+        packed = packed.astype("<u4" if packed.max(initial=0) < 1 << 32 else "<u8")
         cuts = np.append(_runs(part), len(part))
         out = [(int(part[i]), _six(word[i:j]), packed[i:j].tobytes()) for i, j in zip(cuts, cuts[1:], strict=False)]
         out.append((-1, b"", counts.astype("<u8").tobytes()))
@@ -190,7 +195,7 @@ def bigram_files(rows: DataFrame, folder: str, parts: int) -> DataFrame:
             c = np.add.reduceat(c[order], at)
             v, w = v[order][at], w[order][at]
             save(folder, f"bigram-{bucket}", h[order][at])
-            save(folder, f"bigram-{bucket}-n", c.astype(np.uint32))
+            save(folder, f"bigram-{bucket}-n", c.astype(np.uint32 if c.max(initial=0) < 1 << 32 else np.int64))
             one, zero = np.ones_like(c), np.zeros_like(c)
             right = [c, one, zero, zero, zero, zero]
             left = [zero, zero, c, (c == 1).astype(np.int64), (c == 2).astype(np.int64), (c > 2).astype(np.int64)]
@@ -220,7 +225,9 @@ def word_files(rows: DataFrame, folder: str) -> dict[str, int]:
                         total[f"b{i + 1}"] += int(y)
             else:
                 word = np.concatenate([_from_six(x) for x in words])
-                f = np.concatenate([np.frombuffer(x, "<u4").reshape(-1, 6) for x in facts]).astype(np.int64)
+                # 4 bytes a number, or 8 where one needs it
+                wide = ["<u8" if len(y) == 8 * len(x) else "<u4" for x, y in zip(words, facts, strict=True)]
+                f = np.concatenate([np.frombuffer(y, k).reshape(-1, 6).astype(np.int64) for y, k in zip(facts, wide, strict=True)])
                 word, f = _summed(word, list(f.T))
                 save(folder, f"word-{part}", word)
                 save(folder, f"word-{part}-n", np.stack(f, 1))
@@ -289,7 +296,9 @@ def fit(docs: DataFrame) -> Model:
     spark = docs.sparkSession
     small_batches(spark)
     parts = shuffle_partitions(spark)
-    n = 4 * parts
+    # a bucket's bigrams fit a task's memory: about BUCKET tokens, a word being 6 bytes or so
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+    n = max(4 * parts, size // (6 * BUCKET))
     folder = new_folder(spark, "kneser-ney")
     folder = folder if "://" in folder else f"file://{folder}"
     return Model(folder, n, parts, word_files(bigram_files(counted(docs, n), folder, parts), folder))
