@@ -29,6 +29,8 @@ KINDS = ("email", "ip", "card", "phone")
 # The base patterns.
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+#: Parts of these that a text is searched for once: runs before an at sign, names after it, digits with dots.
+LOCAL, DOMAIN, DOTTED = re.compile(r"[A-Za-z0-9._%+-]++"), re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"), re.compile(r"[0-9]++(?:\.[0-9]++)*+")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGITS = re.compile(r"[0-9]")
@@ -95,11 +97,35 @@ def fits(kind: str, text: str) -> bool:
     return 9 <= len(digits) <= 15 if kind == "phone" else True
 
 
+def email_spans(text: str) -> Iterator[tuple[int, int]]:
+    """The matches of EMAIL, each run of characters read once (a long run without an at sign is no burden)."""
+    done = 0
+    for m in LOCAL.finditer(text):
+        if text.startswith("@", m.end()) and m.end() > done and (d := DOMAIN.match(text, m.end() + 1)):
+            yield max(m.start(), done), d.end()
+            done = d.end()
+
+
+def ip_spans(text: str) -> Iterator[tuple[int, int]]:
+    """The matches of IP: of a chain of numbers with dots, four at a time."""
+    for m in DOTTED.finditer(text):
+        if m.group().count(".") >= 3:
+            at, parts = m.start(), m.group().split(".")
+            for k in range(0, len(parts), 4):
+                end = at + sum(map(len, parts[k : k + 4])) + len(parts[k : k + 4]) - 1
+                if len(parts) - k >= 4:
+                    yield at, end
+                at = end + 1
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind, start, end) by kind, then start. A text without an at sign or a plus is not searched for what needs one."""
     out = []
-    for k, pattern in enumerate((EMAIL, IP, CARD, PHONE)):
-        if (k != 0 or "@" in text) and (k != 3 or "+" in text):
+    if "@" in text:
+        out += [(0, a, b) for a, b in email_spans(text)]
+    out += [(1, a, b) for a, b in ip_spans(text) if fits("ip", text[a:b])]
+    for k, pattern, needs in ((2, CARD, ""), (3, PHONE, "+")):
+        if needs in text:
             out += [(k, m.start(), m.end()) for m in pattern.finditer(text) if fits(KINDS[k], m.group())]
     return out
 
