@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from .kneser_ney import discounts, fold
 from .shared import free_name, small_batches, table
 
-ORDER, SHARED, WINDOW, FIT, PAIRS, LONG, THRESHOLD = 5, 2, 8, 8_000, 1_500, 1 << 20, 0.3
+ORDER, SHARED, WINDOW, FIT, PAIRS, LONG, THRESHOLD = 5, 2, 8, 8_000, 400, 1 << 20, 0.3
 LETTERS = re.compile(r"[^\W\d_]+")
 CACHE = 300_000
 P = np.uint64(0x9E3779B97F4A7C15)
@@ -94,7 +94,7 @@ class Level:
 
     def __init__(self, gram: np.ndarray, context: np.ndarray, counts: np.ndarray):
         by = np.argsort(gram)
-        self.gram, context, counts = gram[by], context[by], counts[by].astype(np.float64)
+        self.gram, context, counts = gram[by], context[by], counts[by].astype(np.float32)
         self.context, back = np.unique(context, return_inverse=True)
         self.kept, self.total, self.rest = np.zeros_like(counts), np.zeros((len(self.context), 2)), np.zeros((len(self.context), 2))
         for y in (0, 1):
@@ -287,7 +287,8 @@ def counted(rows: DataFrame) -> DataFrame:
     each = rows.mapInArrow(grams, "o int, g long, c long, e long, n0 long, n1 long, m0 long, m1 long")
     chars = each.filter("o > 0").groupBy("o", "g").agg(F.first("c").alias("c"), F.first("e").alias("e"), *[F.sum(x).alias(x) for x in names[4:]])
     pairs = each.filter("o = 0").groupBy("o", "g", "c", "e").agg(*[F.sum(x).alias(x) for x in names[4:]])
-    return chars.select(names).unionByName(pairs.select(names))
+    fewer = [*(F.col(x) for x in names[:4]), *(F.col(x).cast("int").alias(x) for x in names[4:])]  # at most one a document
+    return chars.select(fewer).unionByName(pairs.select(fewer))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -324,11 +325,12 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = FIT) -> Scorer | None:
     """None if the labels do not have both classes."""
     small_batches(docs.sparkSession)
     rows = labelled(docs, labels, most)
-    grams = counted(rows).toPandas()  # of a bounded number of documents of bounded length
-    if not len(grams) or grams[["n0", "n1"]].sum().min() == 0:
+    grams = counted(rows).toArrow()  # of a bounded number of documents of bounded length
+    given = grams.column("o").to_numpy(), *(grams.column(c).to_numpy().view(np.uint64) for c in "gce")
+    n, m = (np.stack([grams.column(c).to_numpy() for c in cs], 1) for cs in (("n0", "n1"), ("m0", "m1")))
+    del grams
+    if not len(n) or n.sum(axis=0).min() == 0:
         return None
-    given = grams["o"].to_numpy(), *(grams[c].to_numpy().view(np.uint64) for c in "gce")
-    n, m = grams[["n0", "n1"]].to_numpy(), grams[["m0", "m1"]].to_numpy()
     sent = docs.sparkSession.sparkContext.broadcast(models(*given, n))
 
     def run(it):
