@@ -79,10 +79,10 @@ class Scratch:
                 path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def small_batches(spark: SparkSession, rows: int = 512) -> None:
+def small_batches(spark: SparkSession, rows: int = 256) -> None:
     """Bounds what one Arrow batch holds, for tables with very long texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -106,7 +106,7 @@ def words_of(text: bytes | None) -> list[bytes]:
 class WordHashes(dict):
     """word -> 64-bit hash, kept for words seen before; forgets all beyond `most` words."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 150_000):
         super().__init__()
         self.most = most
 

@@ -36,7 +36,7 @@ from .shared import free_name, small_batches, table
 
 ORDER, SHARED, WINDOW, FIT, PAIRS, LONG, THRESHOLD = 5, 2, 8, 8_000, 400, 1 << 20, 0.3
 LETTERS = re.compile(r"[^\W\d_]+")
-CACHE = 300_000
+CACHE = 100_000
 P = np.uint64(0x9E3779B97F4A7C15)
 BEGIN, STOP = 1, 2  # stand for the beginning and the end of a text among hashes of words
 
@@ -217,30 +217,52 @@ class Ratios(dict):
 
     def features(self, texts: list[str | None]) -> np.ndarray:
         """Per text, of the characters' ratios: the mean, the largest, the second largest of another word, the largest mean over WINDOW words; and that of the words' ratios."""
+        out, held, size = [], [], 0
+        for x in texts:  # some texts at a time, so that memory does not grow with the batch
+            held.append(x)
+            size += len(x or "")
+            if size > 500_000:
+                out.append(self._some(held))
+                held, size = [], 0
+        return np.concatenate([*out, self._some(held)])
+
+    def _some(self, texts: list[str | None]) -> np.ndarray:
         split = [LETTERS.findall(x.lower()) if x else [] for x in texts]
         if len(self) > CACHE:
             self.clear()
             self.ratio, self.number = np.zeros(0), np.zeros(0, np.int64)
         if new := list({w for ws in split for w in ws} - self.keys()):
             self.update(zip(new, range(len(self), len(self) + len(new)), strict=True))
-            self.ratio = np.concatenate((self.ratio, *(self.chars.words(new[k : k + 50_000]) for k in range(0, len(new), 50_000))))
+            self.ratio = np.concatenate((self.ratio, *(self.chars.words(new[k : k + 10_000]) for k in range(0, len(new), 10_000))))
             self.number = np.concatenate((self.number, self.pairs.numbers(np.fromiter(map(word_hash, new), np.uint64, len(new)))))
-        begin, stop = (int(self.pairs.numbers(np.array([x], np.uint64))[0]) for x in (BEGIN, STOP))
-        out = np.zeros((len(texts), 5))
-        for i, ws in enumerate(split):
-            if ws:
-                at = np.fromiter(map(self.__getitem__, ws), np.int64, len(ws))
-                r, number = self.ratio[at], self.number[at]
-                sums = np.concatenate((np.zeros(1), np.cumsum(r)))
-                span = min(WINDOW, len(r))
-                top = r.max()
-                second = r[r < top - 1e-12]
-                q = self.pairs.ratios(np.append(begin, number), np.append(number, stop))
-                both, wide = np.concatenate((np.zeros(1), np.cumsum(q))), min(WINDOW, len(q))
-                out[i] = r.mean(), top, second.max() if len(second) else top, (sums[span:] - sums[:-span]).max() / span, (both[wide:] - both[:-wide]).max() / wide
+        sizes = np.fromiter(map(len, split), np.int64, len(split))
+        out, some = np.zeros((len(texts), 5)), np.flatnonzero(sizes)
+        if not len(some):
+            return out
+        sizes = sizes[some]
+        at = np.fromiter((self[w] for ws in split for w in ws), np.int64, int(sizes.sum()))
+        r, number, start = self.ratio[at], self.number[at], np.cumsum(sizes) - sizes
+        top = np.maximum.reduceat(r, start)
+        second = np.maximum.reduceat(np.where(r < np.repeat(top - 1e-12, sizes), r, -np.inf), start)
+        # each text's words with its beginning before and its end after them
+        text, begin, stop = np.repeat(np.arange(len(some)), sizes), *(int(self.pairs.numbers(np.array([x], np.uint64))[0]) for x in (BEGIN, STOP))
+        place = np.arange(len(at)) + text
+        v, w = np.full(len(at) + len(some), begin), np.full(len(at) + len(some), stop)
+        w[place], v[place + 1] = number, number
+        q = self.pairs.ratios(v, w)
+        out[some] = np.stack((np.add.reduceat(r, start) / sizes, top, np.where(np.isfinite(second), second, top), best_window(r, start, sizes), best_window(q, start + np.arange(len(some)), sizes + 1)), 1)
         return out
 
 
+def best_window(values: np.ndarray, start: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Per text (start and size among values): the largest mean of WINDOW neighbours, or of all where there are fewer."""
+    sums = np.concatenate((np.zeros(1), np.cumsum(values)))
+    whole = (sums[start + sizes] - sums[start]) / sizes
+    at = np.arange(len(values))
+    means = np.where(at + WINDOW <= np.repeat(start + sizes, sizes), (sums[np.minimum(at + WINDOW, len(values))] - sums[at]) / WINDOW, -np.inf)
+    return np.where(sizes < WINDOW, whole, np.maximum.reduceat(means, start))
+
+
 def labelled(docs: DataFrame, labels: DataFrame, most: int = FIT, pairs: int = PAIRS) -> DataFrame:
     """text, toxic, later, paired of at most about `most` documents of each class; later: the third of rows that calibrates; paired: those whose word pairs count."""
     one = labels.filter("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -285,10 +307,7 @@ def counted(rows: DataFrame) -> DataFrame:
             yield batch(*gram_counts(list(held), np.array(list(held.values()))))
 
     each = rows.mapInArrow(grams, "o int, g long, c long, e long, n0 long, n1 long, m0 long, m1 long")
-    chars = each.filter("o > 0").groupBy("o", "g").agg(F.first("c").alias("c"), F.first("e").alias("e"), *[F.sum(x).alias(x) for x in names[4:]])
-    pairs = each.filter("o = 0").groupBy("o", "g", "c", "e").agg(*[F.sum(x).alias(x) for x in names[4:]])
-    fewer = [*(F.col(x) for x in names[:4]), *(F.col(x).cast("int").alias(x) for x in names[4:])]  # at most one a document
-    return chars.select(fewer).unionByName(pairs.select(fewer))
+    return each.groupBy("o", "g", "c", "e").agg(*[F.sum(x).cast("int").alias(x) for x in names[4:]])
 
 
 def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
