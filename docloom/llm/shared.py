@@ -64,7 +64,7 @@ class Scratch:
         before = self.spark.conf.get(TIDY, "false")
         self.spark.conf.set(TIDY, "true")
         try:
-            df.write.parquet(folder := new_folder(self.spark, what))
+            df.write.option("parquet.block.size", 16 << 20).parquet(folder := new_folder(self.spark, what))
         finally:
             self.spark.conf.set(TIDY, before)
         self.folders.setdefault(what, []).append(folder)
@@ -83,6 +83,7 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
     """Bounds what one Arrow batch holds, for tables with very long texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(min(rows, 512)))
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

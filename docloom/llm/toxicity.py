@@ -36,7 +36,7 @@ from .shared import free_name, small_batches, table
 
 ORDER, SHARED, WINDOW, FIT, PAIRS, LONG, THRESHOLD = 5, 2, 8, 8_000, 400, 1 << 20, 0.3
 LETTERS = re.compile(r"[^\W\d_]+")
-CACHE = 100_000
+CACHE = 200_000
 P = np.uint64(0x9E3779B97F4A7C15)
 BEGIN, STOP = 1, 2  # stand for the beginning and the end of a text among hashes of words
 
