@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docloom.functions.rules import ALIASES
+
 
 def collapse_space(c: Column) -> Column:
     """White space to single spaces, trimmed; null to ''."""
@@ -72,3 +74,11 @@ BARE = "aaaaaaceeeeiiiinooooouuuuyy"
 def search_tokens(c: Column) -> Column:
     """Lower-case runs of letters and digits, without marks."""
     return F.filter(F.split(F.translate(F.lower(F.coalesce(c, F.lit(""))), MARKED, BARE), r"[^\p{L}\p{N}]+"), lambda x: x != "")
+
+
+def expanded(question: Column) -> Column:
+    """A question and what the keys in it also ask for, each once, in order."""
+    asked, none = collapse_space(question), F.array().cast("array<string>")
+    low = F.lower(asked)
+    each = [F.when(low.contains(k.lower()), F.array(*[F.lit(x) for x in terms])).otherwise(none) for k, terms in ALIASES.items()]
+    return F.array_distinct(F.filter(F.concat(F.array(asked), *each), lambda x: x != ""))

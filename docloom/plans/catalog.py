@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from docloom.functions import text as tx
 from docloom.operators import evidence, jobs, labels, search
-from docloom.plans import labelled, reports
+from docloom.plans import labelled, patents, reports
 from docloom.sources.readers import table
 
-QUERIES: dict = reports.QUERIES | labelled.QUERIES
-SQL: dict[str, str] = reports.SQL | labelled.SQL
+QUERIES: dict = reports.QUERIES | labelled.QUERIES | patents.QUERIES
+SQL: dict[str, str] = reports.SQL | labelled.SQL | patents.SQL
 
 
 def query(sql: str):
