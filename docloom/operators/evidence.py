@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.functions import text as tx
+from docloom.operators.claims import once
 
 PAGE = 40  # lines of a page
 
@@ -28,20 +29,19 @@ def snippets(docs: DataFrame, low: int = 40, high: int = 800, most: int = 10, pr
     return s.select("doc_id", "n", "line_no", "text")
 
 
-def severity(text: Column) -> tuple[Column, Column]:
-    """Score (0 to 100) and bucket of a text's quality; 100: empty."""
-    n, letters, digits = F.length(tx.collapse_space(text)), tx.letter_share(text), tx.digit_share(text)
-    flags = ((n < 120, 20), (n > 20_000, 15), (letters < 0.75, 25), (digits > 0.1, 20), (text.rlike("[#$%&*]{3}"), 30), (text.rlike(r"[|]"), 10))
+def audit(docs: DataFrame) -> DataFrame:
+    """doc_id, severity (0 to 100; 100: empty) and bucket of a text's quality; each measure is taken once."""
+    rows = once(docs.select("doc_id", "text"), n=F.length(tx.collapse_space(F.col("text"))), solid=F.length(F.regexp_replace(F.coalesce("text", F.lit("")), r"(?U)\s+", "")),
+                letters=F.regexp_count("text", F.lit(r"\p{L}")), digits=F.regexp_count("text", F.lit("[0-9]")))
+    share = lambda c: F.when(F.col("solid") > 0, F.round(F.col(c) / F.col("solid"), 3)).otherwise(0.0)
+    flags = ((F.col("n") < 120, 20), (F.col("n") > 20_000, 15), (share("letters") < 0.75, 25), (share("digits") > 0.1, 20), (F.col("text").rlike("[#$%&*]{3}"), 30), (F.col("text").rlike(r"[|]"), 10))
     total = F.lit(0)
     for on, weight in flags:
         total = total + F.when(on, weight).otherwise(0)
-    score = F.when(n == 0, 100).otherwise(F.least(total, F.lit(100)))
-    return score, F.when(score >= 70, "severe").when(score >= 45, "high").when(score >= 25, "medium").when(score > 0, "low").otherwise("ok")
-
-
-def audit(docs: DataFrame) -> DataFrame:
-    score, bucket = severity(F.col("text"))
-    return docs.select("doc_id", score.cast("int").alias("severity"), bucket.alias("bucket"))
+    rows = once(rows, score=F.when(F.col("n") == 0, 100).otherwise(F.least(total, F.lit(100))).cast("int"))
+    score = F.col("score")
+    bucket = F.when(score >= 70, "severe").when(score >= 45, "high").when(score >= 25, "medium").when(score > 0, "low").otherwise("ok")
+    return rows.select("doc_id", score.alias("severity"), bucket.alias("bucket"))
 
 
 def turn_forest(turns: DataFrame) -> DataFrame:
