@@ -1,18 +1,17 @@
-"""The queries of this subpackage and their SQL, by name."""
+"""The queries of this subpackage and their SQL, by name. All modules are imported here, so that what cannot be leaves the others."""
 
 from __future__ import annotations
 
-from importlib import import_module
+import corpus_pipeline
 
-MODULES = ("chat_format", "jaccard_join", "decontaminate", "mix", "lz_fingerprint", "kneser_ney", "toxicity", "pii", "html_text", "licenses")
+from . import chat_format, decontaminate, html_text, jaccard_join, kneser_ney, licenses, lz_fingerprint, mix, pii, toxicity
 
+MODULES = (chat_format, jaccard_join, decontaminate, mix, lz_fingerprint, kneser_ney, toxicity, pii, html_text, licenses)
 
-def queries() -> dict:
-    import corpus_pipeline
 
-    found = {k: v for m in MODULES for k, v in import_module(f"{__package__}.{m}").QUERIES.items()}
-    return found | {"pipeline": corpus_pipeline.run}
+def queries() -> dict:
+    return {k: v for m in MODULES for k, v in m.QUERIES.items()} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for m in MODULES for k, v in getattr(import_module(f"{__package__}.{m}"), "SQL", {}).items()}
+    return {k: v for m in MODULES for k, v in getattr(m, "SQL", {}).items()}
