@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import chat_format, decontaminate, html_text, jaccard_join, kneser_ney, licenses, lz_fingerprint, mix, pii, toxicity
+from . import chat_format, decontaminate, forest, html_text, jaccard_join, kneser_ney, licenses, lz_fingerprint, mix, pii, repair, toxicity, whiten
 
-MODULES = (chat_format, jaccard_join, decontaminate, mix, lz_fingerprint, kneser_ney, toxicity, pii, html_text, licenses)
+MODULES = (chat_format, jaccard_join, decontaminate, mix, lz_fingerprint, kneser_ney, toxicity, pii, html_text, licenses, whiten, repair, forest)
 
 
 def queries() -> dict:
