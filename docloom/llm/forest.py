@@ -39,6 +39,7 @@ TOP, EVERY = 20, 20  # fixed values: neighbours, queries' ids
 TREES, LEAF, TILE = 4, 512, 4096
 SAMPLE, FIT_MB = 65_536, 64
 PROBED, TARGET = 200, 0.95
+HELD = 20_000  # queries of which a task holds the best found
 NEAR = 1e-9  # part of the largest product by which a block's products may be off
 
 
@@ -125,15 +126,14 @@ def plant(sample: np.ndarray, norm: float, rows: int, trees: int = TREES, leaf:
     return forest
 
 
-def best_of(q: np.ndarray, v: np.ndarray, head: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places in q and in v, and products, of each query's best vectors: by product, then by head. Products are summed
-    entry by entry, so that a pair has one product wherever it meets."""
+def best_of(q: np.ndarray, v: np.ndarray, head: np.ndarray, top: int, floor: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places in q and in v, and products, of each query's best vectors: by product, then by head; none far below a query's
+    floor. Products are summed entry by entry, so that a pair has one product wherever it meets."""
     block = q @ v.T
-    if len(v) > top:
-        least = np.partition(block, len(v) - top, axis=1)[:, len(v) - top]
-        i, j = np.nonzero(block >= (least - NEAR * np.abs(block).max())[:, None])
-    else:
-        i, j = map(np.ravel, np.indices(block.shape))
+    least = np.partition(block, len(v) - top, axis=1)[:, len(v) - top] if len(v) > top else np.full(len(q), -np.inf)
+    if floor is not None:
+        least = np.maximum(least, floor)
+    i, j = np.nonzero(block >= (least - NEAR * np.abs(block).max())[:, None])
     s = (q[i] * v[j]).sum(axis=1)
     order = np.lexsort((head[j], -s, i))
     i, j, s = i[order], j[order], s[order]
@@ -142,6 +142,38 @@ def best_of(q: np.ndarray, v: np.ndarray, head: np.ndarray, top: int) -> tuple[n
     return i[keep], j[keep], s[keep]
 
 
+class Best:
+    """What a task has found for each of its queries: the best `top`, each class once; at most HELD queries at a time."""
+
+    def __init__(self, top: int):
+        self.top, self.found, self.floor = top, {}, {}
+
+    def floors(self, names: np.ndarray) -> np.ndarray:
+        return np.array([self.floor.get(n, -np.inf) for n in names.tolist()])
+
+    def add(self, name: int, s: np.ndarray, head: np.ndarray, cls: np.ndarray) -> None:
+        if name in self.found:
+            s, head, cls = (np.concatenate(x) for x in zip(self.found[name], (s, head, cls), strict=True))
+        self.found[name] = s, head, cls = self.cut(s, head, cls)
+        if len(s) == self.top:
+            self.floor[name] = s[-1]
+
+    def cut(self, s: np.ndarray, head: np.ndarray, cls: np.ndarray) -> tuple:
+        order = np.lexsort((cls, head, -s))
+        s, head, cls = s[order], head[order], cls[order]
+        _, once = np.unique(cls, return_index=True)
+        once = np.sort(once)[:self.top]
+        return s[once], head[once], cls[once]
+
+    def rows(self) -> pa.RecordBatch:
+        names = list(self.found)
+        cut = [self.cut(*self.found[n]) for n in names]
+        s, head, cls = (np.concatenate(x) for x in zip(*cut, strict=True))
+        q = np.repeat(np.array(names, np.int64), [len(x[0]) for x in cut])
+        self.found, self.floor = {}, {}
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (q, cls, head, s)], ["q", "cls", "head", "score"])
+
+
 def classes_of(rows: DataFrame, scratch: Scratch) -> DataFrame:
     """cls, vector, head (smallest id), ids (the TOP + 1 smallest): a row for each different vector of rows (vec_id, vector)."""
     order = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
@@ -220,8 +252,9 @@ def _queries_by_cell(forest: Forest, tiles: int, probes: int, cosine: float):
 
 
 def _meet(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by cell, vectors before queries: a cell's vectors are held, its queries stream past them."""
-    cell, held, v = None, [], None
+    """Rows sorted by cell, vectors before queries: a cell's vectors are held, its queries stream past them. A query's best so
+    far is a floor for its further cells of this task."""
+    cell, held, v, best = None, [], None, Best(TOP + 1)
     for b in it:
         if not b.num_rows:
             continue
@@ -237,8 +270,14 @@ def _meet(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             elif held:
                 if v is None:
                     v, names, heads = (np.concatenate(y) for y in zip(*held, strict=True))
-                i, j, s = best_of(x, v, heads, TOP + 1)
-                yield pa.RecordBatch.from_arrays([pa.array(y) for y in (cls[i], names[j], heads[j], s)], ["q", "cls", "head", "score"])
+                i, j, s = best_of(x, v, heads, best.top, best.floors(cls))
+                cut = np.flatnonzero(np.diff(i, prepend=-1))
+                for a, z in zip(cut, [*cut[1:], len(i)], strict=True):
+                    best.add(int(cls[i[a]]), s[a:z], heads[j[a:z]], names[j[a:z]])
+                if len(best.found) >= HELD:
+                    yield best.rows()
+    if best.found:
+        yield best.rows()
 
 
 def nearest(rows: DataFrame, every: int = EVERY, trees: int = TREES, leaf: int = LEAF, target: float = TARGET) -> DataFrame:
