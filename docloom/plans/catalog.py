@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docloom.functions import text as tx
-from docloom.operators import evidence, jobs, labels, search
-from docloom.plans import labelled, patents, reports
+from docloom.operators import evidence, jobs, labels, postings, search
+from docloom.plans import indexed, labelled, patents, reports
 from docloom.sources.readers import table
 
-QUERIES: dict = reports.QUERIES | labelled.QUERIES | patents.QUERIES
-SQL: dict[str, str] = reports.SQL | labelled.SQL | patents.SQL
+QUERIES: dict = reports.QUERIES | labelled.QUERIES | patents.QUERIES | indexed.here.queries
+SQL: dict[str, str] = reports.SQL | labelled.SQL | patents.SQL | indexed.here.sql
 
 
 def query(sql: str):
@@ -141,16 +141,20 @@ def _phrases(spark, d):
     return table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), F.array_join(F.slice(t, 1, 2), " ").alias("phrase"))
 
 
+def _ranked(spark, d):
+    return postings.search(indexed.index_of(spark, d), _phrases(spark, d).select("query_id", F.split("phrase", " ").alias("tokens")))
+
+
 @query(BM25 + "select query_id, doc_id, round(score, 6) as score, rank from r where rank <= 10")
 def search_bm25_batch(spark, d):
-    return search.bm25(table(spark, d, "documents"), _phrases(spark, d)).withColumn("score", F.round("score", 6))
+    return indexed.shown(_ranked(spark, d))
 
 
 @query(BM25 + """, e as (select *, row_number() over (partition by doc_id order by query_id) as i from r where rank <= 10),
 f as (select doc_id, sum(case when i = 1 then score + greatest(0, 2 - 0.15 * rank) else 0.35 * score end) + 0.8 * count(*) as v, count(*) as n_hits from e group by 1)
 select doc_id, round(v, 6) as fused_score, n_hits from f order by round(v, 9) desc, doc_id limit 20""")
 def search_fusion(spark, d):
-    return search.fused(search.bm25(table(spark, d, "documents"), _phrases(spark, d))).withColumn("fused_score", F.round("fused_score", 6))
+    return search.fused(_ranked(spark, d)).withColumn("fused_score", F.round("fused_score", 6))
 
 
 @query("""with e as (select q.vec_id as query_id, v.vec_id, list_sum(list_transform(list_zip(v.embedding, q.embedding), lambda x: (x[1]::double - x[2]::double) * (x[1]::double - x[2]::double))) as distance
@@ -192,5 +196,4 @@ def evidence_units(spark, d):
 w as (select r.query_id, r.doc_id, r.score, len(list_intersect(string_split(p.phrase, ' '), title)) as hits from r join p using (query_id) join t2 using (doc_id) where rank <= 10)
 select query_id, doc_id, hits::bigint as title_hits, round(greatest(0, least(20, score)) + least(12, 1.6 * hits), 6) as fit from w""")
 def search_rerank(spark, d):
-    docs, phrases = table(spark, d, "documents"), _phrases(spark, d)
-    return search.refitted(search.bm25(docs, phrases), docs, phrases)
+    return search.refitted(_ranked(spark, d), table(spark, d, "documents"), _phrases(spark, d))
