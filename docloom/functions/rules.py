@@ -46,3 +46,28 @@ ALIASES = {
     "펌웨어": ("firmware", "firmware_upgrade_control", "固件", "펌웨어"),
     "암호화": ("encryption", "decryption", "encryption_decryption_processing", "암호화"),
 }
+# Labels that are never given, labels that say little, and rules for labels that stand for missing ones.
+DENIED = ("ect_data_labeling", "ect_data_labeling_platform", "composite_electrode_preparation")
+LOW_VALUE = ("generic_memory_operation", "general_data_processing")
+REPLACEMENTS = (
+    ("memory_read_operation", r"读取|读操作|read operation|read command|read request|read data|판독|읽기"),
+    ("memory_program_operation", r"编程|写入|program operation|programming|write operation|write data|프로그램|쓰기"),
+    ("memory_erase_operation", r"擦除|erase operation|erase command|소거"),
+    ("memory_control_operation", r"控制器|控制电路|控制逻辑|memory controller|control circuit|controller|제어기|제어 회로"),
+    ("storage_device_management", r"存储装置|存储设备|存储系统|storage device|storage system|solid state drive|SSD|저장 장치"),
+    ("semiconductor_memory_structure", r"半导体存储器|半导体装置|存储器结构|semiconductor memory|semiconductor device|memory structure|반도체 메모리"),
+    ("flash_memory_operation", r"闪存|快闪|flash memory|NAND|NOR flash|플래시|낸드"),
+    ("address_mapping_management", r"地址映射|逻辑地址|物理地址|address mapping|logical address|physical address|주소 매핑"),
+    ("cache_management", r"缓存|cache|캐시"),
+    ("firmware_update_control", r"固件|firmware|펌웨어"),
+    ("data_analysis_model", r"数据分析|分析方法|模型|拟合|评估|data analysis|analysis model|fitting|evaluation|분석|모델|평가"),
+    ("data_collection_control", r"数据采集|数据收集|采集模块|acquisition|data collection|collecting data|데이터 수집"),
+    ("data_prediction_model", r"预测|预警|forecast|prediction|predictive|예측"),
+    ("data_classification_recognition", r"分类|识别|辨识|classification|recognition|identify|인식|분류"),
+    ("monitoring_signal_processing", r"监测|监控|信号处理|signal processing|monitoring|모니터링|신호 처리"),
+    ("data_security_processing", r"加密|解密|认证|鉴权|encryption|decryption|authentication|security|암호화|복호화|인증"),
+    ("image_data_processing", r"图像|影像|视觉|image|vision|이미지|영상"),
+    ("communication_data_processing", r"通信|传输|总线|communication|transmission|bus|통신|전송|버스"),
+    ("test_validation_control", r"测试|验证|校验|test|testing|validation|verify|검증|테스트"),
+    ("power_quality_analysis", r"电能质量|power quality|전력 품질"),
+)

@@ -266,7 +266,7 @@ class Asked:
 def _asked(phrases: DataFrame) -> Iterator[Asked]:
     """The different phrases of each query, QUERIES_AT_ONCE at a time."""
     kind, block, number = phrases.schema["query_id"].dataType.simpleString(), [], 0
-    for r in phrases.filter(F.size("tokens") > 0).select("query_id", "tokens").distinct().toLocalIterator():
+    for r in phrases.filter(F.size("tokens") > 0).select("query_id", "tokens").distinct().toLocalIterator(prefetchPartitions=True):
         block.append((number, r.query_id, tuple(r.tokens)))
         number += 1
         if len(block) == QUERIES_AT_ONCE:
@@ -382,7 +382,7 @@ def search_words(index: Index, words: DataFrame, top: int = 10) -> DataFrame:
 def _whole_queries(words: DataFrame, kind: str) -> Iterator[Asked]:
     block, number = [], 0
     gathered = words.groupBy("query_id").agg(F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("tokens"))
-    for r in gathered.toLocalIterator():
+    for r in gathered.toLocalIterator(prefetchPartitions=True):
         for t in r.tokens:
             block.append((number, r.query_id, (t,)))
             number += 1
