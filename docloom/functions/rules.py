@@ -71,3 +71,23 @@ REPLACEMENTS = (
     ("test_validation_control", r"测试|验证|校验|test|testing|validation|verify|검증|테스트"),
     ("power_quality_analysis", r"电能质量|power quality|전력 품질"),
 )
+# Where claims begin and end, by country, and how they are numbered.
+CLAIM_CUE = {"KR": "청구범위", "US": r"(?i)what\s+is\s+claimed\s+is|the\s+invention\s+claimed\s+is|(?:^|\n)\s*(?:i|we)\s+claim\s*:?"}
+DESCRIPTION_CUE = {"KR": "발명의 설명", "US": "Detailed Description"}
+CLAIM_HEADER = r"(?i)what\s+is\s+claimed\s+is\s*:|the\s+invention\s+claimed\s+is\s*:|(?:^|\n)\s*(?:i|we)\s+claim\s*:?"
+DRAWING_NOISE = r"(?i)(U\.S\.\s+Patent|Sheet\s+\d+\s+of\s+\d+|FIG\.?\s*\d+|cited by examiner)"
+CLAIM_LINE = r"(?im)^\s*\d{1,3}\s*[.:]\s+(?:A\b|A[A-Za-z]|An\b|The\b|In\b).*(?:comprising|claim|wherein|configured|including)"
+CLAIM_OPENING = r"(?:A\b|A[A-Za-z]|An\b|The\b|In\b)"
+CANCELED = r"\(canceled\)|cancelled"
+CANCELED_RANGE = r"(?im)^\s*\d{1,3}\s*-\s*\d{1,3}\s*[.:]\s*\(canceled\)"
+CLAIM_SPLIT = {
+    "KR": r"(?m)^\s*청구항\s*(\d+)\s*",
+    "US": r"(?im)^\s*(\d{1,3})\s*[.:]\s*(?=(?:A\b|A[A-Za-z]|An\b|The\b|In\b)|\(canceled\)|cancelled)",
+    "CN": r"(?m)(?:^|\n)\s*(\d{1,3})\s*[.．、]\s*(?=\S)",
+    "": r"(?m)^\s*(\d+)\s*[.:]\s*",
+}
+REGION_START = (r"权\s*利\s*要\s*求\s*书", r"(?m)^\s*1\s*[.．、]\s*")
+REGION_END = (r"说\s*明\s*书", r"技\s*术\s*领\s*域", r"发\s*明\s*内\s*容", r"附\s*图\s*说\s*明")
+PAGE_ARTIFACTS = (r"(?m)^\h*权\s*利\s*要\s*求\s*书.*页\h*", r"(?m)^\h*说\s*明\s*书.*页\h*", r"(?im)^\h*CN\h*[A-Z]?\h*[\d\h]+[ABU]?\h*", r"(?m)^\h*\d+\h*")
+CN_NUMBER = r"CN\s+(\d)\s+(\d)\s+(\d)\s+(\d)\s+(\d+)\s+([ABU])"
+BLOCK_ARTIFACTS = (r"(?m)^\s*权\s*利\s*要\s*求\s*书.*$", r"(?im)^\s*CN\s*[A-Z]?\s*[\d\s]+[ABU]?\s*$", r"(?m)^\s*\d+\s*$")
