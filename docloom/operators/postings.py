@@ -1,7 +1,7 @@
 """An index of words with their places, written once and read by every search.
 
-A document belongs to one block (about BLOCK_DOCS documents, BLOCK_CHARS characters), by a hash within a class of like length.
-A row of the index is one token in one block: which documents (by their slot in the block), how often, and where; with
+A document belongs to one block of at most BLOCK_DOCS documents of like length, read by one task one after the other; so the
+texts are not shuffled. A row of the index is one token in one block: which documents (by their slot in the block), how often, and where; with
 the most occurrences and the least document size among them, which bound the token's score in the block. The row of the
 empty token has the block's document ids and sizes. Rows are dealt to folders by a hash of the token and a part of the block,
 so that a common token is spread, and sorted by token, so that a search reads few row groups.
@@ -11,8 +11,8 @@ distance. BM25 needs the number of documents with a phrase, so phrases are count
 tokens know it beforehand and leave out blocks whose bound is below a score that enough documents reach.
 
 New documents are a further part (add()); a part that no manifest names does not exist. A row of the documents is one
-document, repeated or not; null text has no tokens; null ids stay null. Texts above a block's size are a block of
-their own. Rows of one id and one text lie in one block.
+document, repeated or not; null text has no tokens; null ids stay null. A text above a block's size is a block of
+its own. Documents should come from files: a task that runs again must read the same rows.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,14 +33,14 @@ from docloom.functions import text as tx
 from docloom.sources.store import Files, Manifest, new_name, shared_folder
 
 K1, B, FLOOR = 1.2, 0.75, 1e-6  # fixed values of the formula
-FORMAT = "1"  # of the index; another one is another folder
-BLOCK_DOCS, BLOCK_CHARS = 1_024, 4 << 20
-BUCKET_CHARS, MOST_BUCKETS = 64 << 20, 20_000
+FORMAT = "2"  # of the index; another one is another folder
+BLOCK_DOCS, BLOCK_TOKENS = 8_192, 2_000_000  # documents at most 65,536, as slots have 16 bits
+BUCKET_BYTES, MOST_BUCKETS = 32 << 20, 20_000
 QUERIES_AT_ONCE = 20_000  # phrases that are searched in one pass
 SLOT = 32  # bits of a place below its slot
 PARTS = 32  # of a query's hits, ranked apart first
 FIRST = 2  # blocks of a query that are searched before others are left out
-ROWS = "block long, token string, n int, max_f int, min_size int, slots array<int>, freqs array<int>, positions array<int>, ids array<long>"
+ROWS = "block long, token string, n int, max_f int, min_size int, slots binary, freqs binary, positions binary, ids array<long>"
 
 
 def best(scored: DataFrame, top: int) -> DataFrame:
@@ -52,15 +53,27 @@ def best(scored: DataFrame, top: int) -> DataFrame:
 
 # --- writing ---
 
-def _lists(values: np.ndarray, starts: np.ndarray) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(np.append(starts, len(values)).astype(np.int32)), pa.array(values))
+def _packed(values: np.ndarray, starts: np.ndarray, *kinds: type) -> pa.Array:
+    """The values from each start to the next one as bytes, in the first of the kinds that holds them all."""
+    kind = next(k for k in kinds if k is kinds[-1] or not len(values) or values.max() <= np.iinfo(k).max)
+    data = values.astype(kind)
+    offsets = (np.append(starts, len(values)) * data.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def unpacked(n: int, slots, freqs, positions) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Slots, frequencies and places of a row's bytes; the lengths tell how they were packed."""
+    slots = np.frombuffer(slots, np.uint16)
+    freqs = np.frombuffer(freqs, np.uint8 if len(freqs) == n else np.uint32)
+    return slots, freqs, np.frombuffer(positions, np.uint16 if len(positions) == 2 * int(freqs.sum(dtype=np.int64)) else np.uint32)
 
 
 def _rows_of_block(block: int, ids: pa.Array, tokens: pa.ListArray) -> Iterator[pa.RecordBatch]:
+    """The head has the number of documents, and of tokens in min_size; its positions are the sizes."""
     sizes = np.asarray(tokens.value_lengths().fill_null(0), dtype=np.int32)
     n = len(sizes)
-    head = [pa.array([block]), pa.array([""]), *(pa.array([x], pa.int32()) for x in (n, 0, 0)), *(pa.array([[]], pa.list_(pa.int32())) for _ in range(2)), pa.array([sizes], pa.list_(pa.int32())), pa.array([ids.to_pylist()], pa.list_(pa.int64()))]
     names = [x.split()[0] for x in ROWS.split(", ")]
+    head = [pa.array([block]), pa.array([""]), *(pa.array([x], pa.int32()) for x in (n, 0, int(sizes.sum()))), pa.array([b""], pa.binary()), pa.array([b""], pa.binary()), pa.array([sizes.tobytes()], pa.binary()), pa.array([ids.to_pylist()], pa.list_(pa.int64()))]
     yield pa.RecordBatch.from_arrays(head, names)
     words = tokens.flatten().dictionary_encode()
     if not len(words):
@@ -77,38 +90,47 @@ def _rows_of_block(block: int, ids: pa.Array, tokens: pa.ListArray) -> Iterator[
     slots = slot[pair]
     counts = np.diff(np.append(at, len(pair))).astype(np.int32)
     columns = [pa.array(np.full(len(at), block)), words.dictionary.take(pa.array(codes[new_token])), pa.array(counts), pa.array(np.maximum.reduceat(freqs, at)), pa.array(np.minimum.reduceat(sizes[slots], at)),
-               _lists(slots, at), _lists(freqs, at), _lists(place, new_token), pa.nulls(len(at), pa.list_(pa.int64()))]
+               _packed(slots, at, np.uint16), _packed(freqs, at, np.uint8, np.uint32), _packed(place, new_token, np.uint16, np.uint32), pa.nulls(len(at), pa.list_(pa.int64()))]
     made = pa.RecordBatch.from_arrays(columns, names)
-    for k in range(0, len(at), 4_096):
-        yield made.slice(k, 4_096)
-
-
-def _written_blocks(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows block, doc_id, tokens, sorted by block."""
-    now, held = None, []
-
-    def done():
-        ids, tokens = (pa.concat_arrays([x[k] for x in held]) for k in (0, 1))
-        return _rows_of_block(now, ids, tokens)
-
-    for b in it:
-        blocks = b.column("block").to_numpy()
-        cuts = np.flatnonzero(np.diff(blocks)) + 1
-        for lo, hi in zip([0, *cuts], [*cuts, len(blocks)], strict=True):
-            if hi == lo:
-                continue
-            if blocks[lo] != now and held:
-                yield from done()
-                held = []
-            now = int(blocks[lo])
-            held.append((b.column("doc_id").slice(lo, hi - lo), b.column("tokens").slice(lo, hi - lo)))
-    if held:
-        yield from done()
-
-
-def _small_batches(spark: SparkSession, rows: str = "512", size: str = str(4 << 20)) -> dict[str, str | None]:
-    """Sets what an Arrow batch may hold; returns what was set before."""
-    wanted = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.execution.arrow.maxBytesPerBatch": size}
+    for k in range(0, len(at), 8_192):
+        yield made.slice(k, 8_192)
+
+
+def _blocks(most_docs: int, most_tokens: int):
+    """Rows doc_id, tokens to the rows of blocks; documents of like length (a factor of eight) come together."""
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, made, held = TaskContext.get().partitionId(), 0, defaultdict(lambda: ([], [], [0, 0]))
+
+        def done(kind: int) -> Iterator[pa.RecordBatch]:
+            ids, tokens, _ = held.pop(kind)
+            return _rows_of_block((task << 32) + made, pa.concat_arrays(ids), pa.concat_arrays(tokens))
+
+        for b in it:
+            ids, tokens = b.column("doc_id"), b.column("tokens")
+            sizes = np.asarray(tokens.value_lengths().fill_null(0), dtype=np.int64)
+            kinds = np.log2(sizes + 1).astype(np.int64) // 3
+            for kind in np.unique(kinds).tolist():
+                rows = np.flatnonzero(kinds == kind)
+                for some in (rows[k:k + most_docs] for k in range(0, len(rows), most_docs)):
+                    more = int(sizes[some].sum())
+                    if kind in held and (held[kind][2][0] + len(some) > most_docs or held[kind][2][1] + more > most_tokens):
+                        yield from done(kind)
+                        made += 1
+                    part = held[kind]
+                    part[0].append(ids.take(pa.array(some)))
+                    part[1].append(tokens.take(pa.array(some)))
+                    part[2][0] += len(some)
+                    part[2][1] += more
+        for kind in sorted(held):
+            yield from done(kind)
+            made += 1
+
+    return run
+
+
+def _for_writing(spark: SparkSession) -> dict[str, str | None]:
+    """Bounds what an Arrow batch holds, and lets shuffle files go with their query; returns what was set before."""
+    wanted = {"spark.sql.execution.arrow.maxRecordsPerBatch": "512", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20), "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
     before = {k: spark.conf.get(k, None) for k in wanted}
     for k, v in wanted.items():
         spark.conf.set(k, v)
@@ -133,28 +155,24 @@ class Index:
         manifest = Manifest(self.spark, self.folder)
         version = manifest.version()
         state = manifest.state(version) or {"parts": [], "n_docs": 0, "n_tokens": 0}
-        kind = F.ceil(F.log2(F.coalesce(F.length("text"), F.lit(0)) + 2)).cast("int")
-        docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-        sizes = docs.groupBy(kind.alias("kind")).agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars")).collect()  # a row for each power of two
-        blocks = {r.kind: max(ceil(r.n / BLOCK_DOCS), ceil(r.chars / BLOCK_CHARS), 1) for r in sizes}
-        buckets = min(MOST_BUCKETS, max(8, ceil(sum(r.chars for r in sizes) / BUCKET_CHARS)))
-        name, few = new_name("part"), F.create_map(*[F.lit(x) for kv in blocks.items() for x in kv]) if blocks else F.lit(None)
-        if not blocks:
-            return self
-        block = F.shiftleft(kind.cast("long"), 40) + F.pmod(F.xxhash64("doc_id", "text"), few[kind].cast("long"))
-        dealt = docs.withColumn("block", block).repartition("block").sortWithinPartitions("block")
-        rows = dealt.select("block", "doc_id", tx.search_tokens(F.col("text")).alias("tokens")).mapInArrow(_written_blocks, ROWS)
-        spread = max(1, buckets // 16)
-        bucket = F.pmod(F.xxhash64("token", F.pmod("block", F.lit(spread))), F.lit(buckets)).cast("int")
-        before = _small_batches(self.spark)
+        docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), tx.search_tokens(F.col("text")).alias("tokens"))
+        files = Files(self.spark)
+        size = sum(files.size(f) for f in docs.inputFiles())
+        buckets = min(MOST_BUCKETS, max(8, ceil(size / BUCKET_BYTES)))
+        spread, name = max(1, buckets // 16), new_name("part")
+        bucket = F.pmod(F.xxhash64("token", F.pmod(F.xxhash64("block"), F.lit(spread))), F.lit(buckets)).cast("int")
+        before = _for_writing(self.spark)
         try:
-            rows.withColumn("bucket", bucket).repartition(buckets, "bucket").sortWithinPartitions("bucket", "token", "block").write.option("parquet.block.size", 32 << 20).partitionBy("bucket").parquet(f"{self.folder}/postings/part={name}")
+            rows = docs.mapInArrow(_blocks(BLOCK_DOCS, BLOCK_TOKENS), ROWS).withColumn("bucket", bucket).repartition(buckets, "bucket").sortWithinPartitions("bucket", "token", "block")
+            rows.write.option("parquet.block.size", 16 << 20).option("compression", "zstd").partitionBy("bucket").parquet(f"{self.folder}/postings/part={name}")
         finally:
             _reset(self.spark, before)
-        tokens = self._read([name]).filter("token = ''").agg(F.sum(F.aggregate("positions", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0]
+        sums = self._read([name]).filter("token = ''").agg(F.sum("n").alias("docs"), F.sum("min_size").alias("tokens")).first()
+        if not sums.docs:
+            return self
         state["parts"].append({"name": name, "buckets": buckets, "spread": spread})
-        state["n_docs"] += sum(r.n for r in sizes)
-        state["n_tokens"] += int(tokens or 0)
+        state["n_docs"] += int(sums.docs)
+        state["n_tokens"] += int(sums.tokens)
         manifest.put(state, version)
         return self
 
@@ -237,15 +255,16 @@ def _matches(it: Iterator[pa.RecordBatch], by_rarest: dict[str, list[tuple[int,
 
     for b in it:
         parts, blocks, tokens = (b.column(c).to_pylist() for c in ("part", "block", "token"))
+        counts = b.column("n").to_pylist()
         slots, freqs, positions, ids = (b.column(c) for c in ("slots", "freqs", "positions", "ids"))
         for k, key in enumerate(zip(parts, blocks, strict=True)):
             if key != now:
                 yield from hits()
                 now, block = key, Block()
             if tokens[k] == "":
-                block.ids, block.sizes = ids[k].values, positions[k].values.to_numpy()
+                block.ids, block.sizes = ids[k].values, np.frombuffer(positions[k].as_buffer(), np.int32)
             else:
-                block.found[tokens[k]] = tuple(x[k].values.to_numpy() for x in (slots, freqs, positions))
+                block.found[tokens[k]] = unpacked(counts[k], *(x[k].as_buffer() for x in (slots, freqs, positions)))
     yield from hits()
 
 
@@ -293,7 +312,7 @@ def _hits(index: Index, asked: Asked, known: dict[str, int], only: DataFrame | N
         rows = rows.join(only, ["part", "block"], "left_semi")
     # dealt by a column of its own: a join on the same columns before would make Spark take its partitions, and perhaps split them
     rows = rows.withColumn("deal", F.xxhash64("part", "block")).repartition("deal").sortWithinPartitions("part", "block", "token")
-    rows = rows.select("part", "block", "token", "slots", "freqs", "positions", "ids")
+    rows = rows.select("part", "block", "token", "n", "slots", "freqs", "positions", "ids")
     by_rarest = dict(by_rarest)
     return rows.mapInArrow(lambda it: _matches(it, by_rarest), HITS).join(F.broadcast(asked.names(index.spark)), "phrase_no")
 

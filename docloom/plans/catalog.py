@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from docloom.functions import text as tx
 from docloom.operators import evidence, jobs, labels, postings, search
-from docloom.plans import indexed, labelled, located, patents, reports
+from docloom.plans import claimed, indexed, labelled, located, patents, reports
 from docloom.sources.readers import table
 
-QUERIES: dict = reports.QUERIES | labelled.QUERIES | patents.QUERIES | indexed.here.queries | located.here.queries
-SQL: dict[str, str] = reports.SQL | labelled.SQL | patents.SQL | indexed.here.sql | located.here.sql
+QUERIES: dict = reports.QUERIES | labelled.QUERIES | patents.QUERIES | indexed.here.queries | located.here.queries | claimed.here.queries
+SQL: dict[str, str] = reports.SQL | labelled.SQL | patents.SQL | indexed.here.sql | located.here.sql | claimed.here.sql
 
 
 def query(sql: str):

@@ -42,6 +42,10 @@ class Files:
         p, fs = self._at(folder)
         return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
+    def size(self, path: str) -> int:
+        p, fs = self._at(path)
+        return fs.getFileStatus(p).getLen()
+
     def stamp(self, path: str) -> str:
         """What changes when the file does."""
         p, fs = self._at(path)

@@ -21,7 +21,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
+@pytest.mark.parametrize("name", sorted(catalog.SQL))
 def test_equals_sql(spark, duck, name):
     got = catalog.QUERIES[name](spark, SF).toPandas()
     want = duck.sql(catalog.SQL[name]).df()
