@@ -272,7 +272,7 @@ def _meet(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     v, names, heads = (np.concatenate(y) for y in zip(*held, strict=True))
                 i, j, s = best_of(x, v, heads, best.top, best.floors(cls))
                 cut = np.flatnonzero(np.diff(i, prepend=-1))
-                for a, z in zip(cut, [*cut[1:], len(i)], strict=True):
+                for a, z in zip(cut, np.append(cut, len(i))[1:], strict=True):
                     best.add(int(cls[i[a]]), s[a:z], heads[j[a:z]], names[j[a:z]])
                 if len(best.found) >= HELD:
                     yield best.rows()
