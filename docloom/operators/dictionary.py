@@ -2,8 +2,10 @@
 
 A rule is a label and a pattern (Python's regular expressions, case does not matter). From each alternative of a pattern
 one literal is taken that every match of it must hold. All literals of all rules are looked for at once by one automaton, and
-only the rules of which a literal was met run their pattern, so the cost of a text is that of one pass and a few patterns,
-however many rules there are. A rule with an alternative that holds no such literal always runs.
+a rule's pattern runs where one of its literals was met, over as many characters as a match can have on either side. So the cost of a
+text is that of one pass and of short searches, however many rules there are and however long it is. A pattern whose
+matches have no bound of WIDEST characters runs over the whole text once a literal was met; a rule with an alternative
+that holds no literal always does.
 
 Null or empty text has no labels; labels come in the order of the rules, each once; a text of any length is read whole.
 """
@@ -13,6 +15,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from re._parser import parse
 
 import ahocorasick
 import pandas as pd
@@ -24,6 +27,7 @@ from docloom.functions import text as tx
 
 MOST_RULES = 100_000  # a table of rules is sent to each task whole
 LEAST = 2  # characters of a literal
+WIDEST = 200  # characters of a match that is looked for around a literal
 SPECIAL = set("\\^$.|?*+()[]{}")
 #: Letters that match a Latin letter when case does not matter, though lower() does not give it.
 ALIKE = str.maketrans({"ſ": "s", "ı": "i", "İ": "i"})
@@ -101,33 +105,49 @@ def literals(pattern: str) -> list[str] | None:
 
 
 class Rules:
-    """Rules in order, with the automaton of their literals. ran counts the patterns that were run."""
+    """Rules in order, with the automaton of their literals. read counts the characters that patterns were given."""
 
     def __init__(self, rules: tuple[tuple[str, str], ...]):
         self.labels = [label for label, _ in rules]
         self.patterns = [re.compile(p, re.IGNORECASE) for _, p in rules]
-        self.always, met, self.ran = [], {}, 0
+        self.always, self.wide, self.read, met = [], {}, 0, {}
         for k, (_, p) in enumerate(rules):
-            some = literals(p)
+            some, widest = literals(p), parse(p).getwidth()[1]
+            self.wide[k] = widest if widest <= WIDEST else None
             if some is None:
                 self.always.append(k)
             for x in some or ():
                 met.setdefault(x, set()).add(k)
         self.automaton = ahocorasick.Automaton()
         for x, ks in met.items():
-            self.automaton.add_word(x, tuple(ks))
+            self.automaton.add_word(x, (len(x), tuple(sorted(ks))))
         if met:
             self.automaton.make_automaton()
 
+    def _meets(self, k: int, text: str, begin: int = 0, end: int | None = None) -> bool:
+        end = len(text) if end is None else end
+        self.read += end - begin
+        m = self.patterns[k].search(text, begin, end)
+        if m and m.end() == end < len(text):  # what it meets may hang on where the search ended
+            return self._meets(k, text)
+        return m is not None
+
     def found(self, text: str | None) -> list[str]:
         if not text:
             return []
-        may = set(self.always)
-        if len(self.automaton):
-            for ks in {ks for _, ks in self.automaton.iter(folded(text))}:
-                may.update(ks)
-        self.ran += len(may)
-        return list(dict.fromkeys(self.labels[k] for k in sorted(may) if self.patterns[k].search(text)))
+        low = folded(text)
+        hit, whole = set(), set(self.always)
+        for end, (size, ks) in self.automaton.iter(low) if len(self.automaton) else ():
+            for k in ks:
+                if k in hit or k in whole:
+                    continue
+                wide = self.wide[k]
+                if wide is None or len(low) != len(text):
+                    whole.add(k)
+                elif self._meets(k, text, max(end + 1 - size - wide, 0), min(end + 2 + wide, len(text))):
+                    hit.add(k)
+        hit.update(k for k in whole if self._meets(k, text))
+        return list(dict.fromkeys(self.labels[k] for k in sorted(hit)))
 
 
 @lru_cache(maxsize=4)

@@ -33,9 +33,17 @@ def test_few_patterns_run():
     table = tuple((f"l{k}", f"word{k} of|{k}th .{{0,9}}thing") for k in range(1_000))
     rules = dictionary.Rules(table)
     assert not rules.always
-    for _ in range(100):
-        rules.found(" ".join(f"word{r.randrange(10_000)} of" for _ in range(50)))
-    assert rules.ran < 100 * 50
+    texts = [" ".join(f"word{r.randrange(10_000)} of" for _ in range(500)) for _ in range(20)]
+    for text in texts:
+        rules.found(text)
+    assert rules.read < 2 * sum(map(len, texts))  # each rule apart reads 1,000 times as much
+
+
+def test_context_at_the_ends_of_a_search():
+    table = ((("a", r"ab.{0,3}\bcd\b"), ("b", r"\bxy(?!z)"), ("c", r"ab$"), ("d", r"^ab"), ("e", "ab.*zz")))
+    rules = dictionary.Rules(table)
+    for text in ("ab cde" + "f" * 500, "ab cd " * 200, "xyz" + "q" * 300, "ab" + "c" * 300 + "ab", "q" * 300 + "ab" + "q" * 300, "ab" + "q" * 300 + "zz", "ab" * 200 + "z"):
+        assert rules.found(text) == [label for label, p in table if re.search(p, text, re.I)]
 
 
 @pytest.mark.parametrize(("pattern", "want"), [
