@@ -7,6 +7,8 @@ FIGURE_OR_FRONT = r"(?i)(U\.S\.\s+Patent|Sheet\s+\d+\s+of\s+\d+|FIG\.?\s*\d+|cit
 FLOW_STEP = r"(?i)\bS\d{2,4}\b|\$[0-9]{2,4}|[-—]{2,}\s*\$?[0-9]{2,4}"
 CLAIM_START = r"(?i)^\s*(?:\d+\.?\s*)?(?:A|An|The|That|In|Method|Device|System|Apparatus|Circuit|Memory|Non-transitory|One or more|What is claimed is|一种|一種|根据|如权利要求|基于|제\s*\d+\s*항|청구항|장치|방법|시스템|메모리|반도체)"
 CLAIM_WORD = r"(?i)\b(comprising|wherein|configured|including|method|device|system|apparatus|circuit|memory|claim)\b|(包括|包含|其中|配置|方法|装置|系统|电路|存储器|权利要求|청구항|제\s*\d+\s*항|상기|있어서|포함|구비|방법|장치|시스템|회로|메모리)"
+# The flags of a pack know four words more.
+PACK_WORD = r"(?i)\b(comprising|wherein|configured|including|method|device|system|apparatus|circuit|memory|claim|medium|controller|processor|storage)\b|(包括|包含|其中|配置|方法|装置|系统|电路|存储器|权利要求|청구항|제\s*\d+\s*항|상기|있어서|포함|구비|방법|장치|시스템|회로|메모리)"
 GIBBERISH = r"(?i)\b(?:Memary|Mernory|EONTRELLER|CENERATOR|Whas|Unesiacted|desver|Aysueg)\b"
 NOISE = r"(?i)(onfrouler|g1iic|ceeee|wees|o\.\.|frorn|vaive|[A-Z]{2,}\d[A-Z]{2,})"
 DEPENDENT = r"(?i)^\s*(?:the\s+.+?\s+of\s+claim\s+\d+|claim\s+\d+|제\s*\d+\s*항\s*에\s*있어서|청구항\s*\d+)"

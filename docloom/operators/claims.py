@@ -40,8 +40,13 @@ def audited(claims: DataFrame) -> DataFrame:
     short = F.filter(F.split(F.lower("clean"), r"[^\p{L}\p{N}_]+"), lambda x: x.rlike("^[a-z]{1,3}$"))
     rows = once(rows, solid=F.length(F.regexp_replace("clean", r"\s+", "")), letters=F.regexp_count("clean", F.lit(r"\p{L}")), digits=F.regexp_count("clean", F.lit(r"\p{Nd}")),
                 starts=F.col("clean").rlike(rules.CLAIM_START), words=F.col("clean").rlike(rules.CLAIM_WORD), front=F.col("clean").rlike(rules.FIGURE_OR_FRONT), short=short)
-    # tokens of up to three letters that come 8 times or more
-    rows = once(rows, repeated=F.aggregate(F.array_distinct("short"), F.lit(0), lambda a, x: a + F.when(F.size(F.filter("short", lambda y: y == x)) >= 8, F.size(F.filter("short", lambda y: y == x))).otherwise(0)), real=F.col("starts") & F.col("words"))
+    # tokens of up to three letters that come 8 times or more: lengths of runs in sorted order
+    def longer(run: Column) -> Column:
+        return F.when(run >= 8, run).otherwise(0)
+
+    start = F.struct(F.lit("").alias("token"), F.lit(0).alias("run"), F.lit(0).alias("total"))
+    step = lambda a, x: F.struct(x.alias("token"), F.when(a.token == x, a.run + 1).otherwise(1).alias("run"), F.when(a.token == x, a.total).otherwise(a.total + longer(a.run)).alias("total"))
+    rows = once(rows, repeated=F.aggregate(F.array_sort("short"), start, step, lambda a: a.total + longer(a.run)), real=F.col("starts") & F.col("words"))
     n = F.length("clean")
     on = {
         "very_short_claim_text": n < 80,
@@ -49,7 +54,7 @@ def audited(claims: DataFrame) -> DataFrame:
         "flowchart_step_text": F.col("clean").rlike(rules.FLOW_STEP),
         "ocr_gibberish_terms": F.col("clean").rlike(rules.GIBBERISH),
         "high_symbol_ratio": (F.col("solid") - F.col("letters") - F.col("digits")) / F.greatest(F.col("solid"), F.lit(1)) > 0.24,
-        "low_letter_ratio": (F.col("letters") / F.greatest(F.col("solid"), F.lit(1)) < 0.48) & (n >= 120),
+        "low_letter_ratio": (F.col("letters") / F.greatest(F.col("solid"), F.lit(1)) < 0.48) & (F.col("solid") >= 120),
         "diagram_line_art": (F.regexp_count("clean", F.lit(r"\|")) >= 4) | (F.regexp_count("clean", F.lit("[—-]")) >= 14),
         "repeated_short_ocr_tokens": F.col("repeated") >= 18,
         "independent_without_claim_keywords": (F.col("claim_type") == "independent") & (n >= 120) & ~F.col("words"),
@@ -81,7 +86,7 @@ def with_text_flags(claims: DataFrame) -> DataFrame:
     """claims (raw_text) with text (1,400 characters), text_flags and contaminated."""
     rows = once(claims, text=tx.clip(F.col("raw_text"), 1400))
     rows = once(rows, solid=F.length(F.regexp_replace("text", r"\s+", "")), letters=F.regexp_count("text", F.lit(r"\p{L}")), digits=F.regexp_count("text", F.lit(r"\p{Nd}")),
-                starts=F.col("text").rlike(rules.CLAIM_START), words=F.col("text").rlike(rules.CLAIM_WORD), front=F.col("text").rlike(rules.FRONT), figure=F.col("text").rlike(rules.FIGURE))
+                starts=F.col("text").rlike(rules.CLAIM_START), words=F.col("text").rlike(rules.PACK_WORD), front=F.col("text").rlike(rules.FRONT), figure=F.col("text").rlike(rules.FIGURE))
     ratio = lambda c: c / F.greatest(F.col("solid"), F.lit(1))
     flags = {
         "very_short_claim_text": F.col("solid") < 80,

@@ -46,9 +46,10 @@ def flag_list(flags: dict[str, str]) -> str:
 
 CLEAN = r"trim(regexp_replace(coalesce({}, ''), '\s+', ' ', 'g'))"
 MEASURES = r"length(regexp_replace(t, '\s+', '', 'g')) as solid, len(regexp_extract_all(t, '\p{L}')) as letters, len(regexp_extract_all(t, '\p{Nd}')) as digits, " + f"regexp_matches(t, {q(rules.CLAIM_START)}) as starts, regexp_matches(t, {q(rules.CLAIM_WORD)}) as words"
+PACK_MEASURES = MEASURES.replace(q(rules.CLAIM_WORD), q(rules.PACK_WORD))
 AUDIT_FLAGS = {
     "very_short_claim_text": "length(t) < 80", "figure_or_frontmatter_text": "front", "flowchart_step_text": f"regexp_matches(t, {q(rules.FLOW_STEP)})", "ocr_gibberish_terms": f"regexp_matches(t, {q(rules.GIBBERISH)})",
-    "high_symbol_ratio": "(solid - letters - digits)::double / greatest(solid, 1) > 0.24", "low_letter_ratio": "letters::double / greatest(solid, 1) < 0.48 and length(t) >= 120",
+    "high_symbol_ratio": "(solid - letters - digits)::double / greatest(solid, 1) > 0.24", "low_letter_ratio": "letters::double / greatest(solid, 1) < 0.48 and solid >= 120",
     "diagram_line_art": r"len(regexp_extract_all(t, '\|')) >= 4 or len(regexp_extract_all(t, '[—-]')) >= 14", "repeated_short_ocr_tokens": "repeated >= 18",
     "independent_without_claim_keywords": "claim_type = 'independent' and length(t) >= 120 and not words", "does_not_start_like_claim": "length(t) >= 120 and not starts and front",
 }
@@ -88,7 +89,7 @@ TEXT_FLAGS = {
 
 
 def _text_flags(source: str) -> str:
-    return rf"""c as (select *, left({CLEAN.format('raw_text')}, 1400) as t from {source}), m as (select *, {MEASURES}, regexp_matches(t, {q(rules.FRONT)}) as front, regexp_matches(t, {q(rules.FIGURE)}) as figure, regexp_matches(t, {q(rules.GIBBERISH)}) as gibberish from c),
+    return rf"""c as (select *, left({CLEAN.format('raw_text')}, 1400) as t from {source}), m as (select *, {PACK_MEASURES}, regexp_matches(t, {q(rules.FRONT)}) as front, regexp_matches(t, {q(rules.FIGURE)}) as figure, regexp_matches(t, {q(rules.GIBBERISH)}) as gibberish from c),
 f as (select *, case when t = '' then ['empty_claim_text'] else {flag_list(TEXT_FLAGS)} end as flags from m),
 g as (select *, t = '' or gibberish or (not starts and (front or figure)) or (front and figure and not (starts and words)) or (list_contains(flags, 'low_letter_ratio_claim_text') and list_contains(flags, 'high_symbol_ratio_claim_text') and not (starts and words)) as contaminated from f)"""
 
