@@ -93,3 +93,9 @@ REGION_END = (r"说\s*明\s*书", r"技\s*术\s*领\s*域", r"发\s*明\s*内\s*
 PAGE_ARTIFACTS = (r"(?m)^\h*权\s*利\s*要\s*求\s*书.*页\h*", r"(?m)^\h*说\s*明\s*书.*页\h*", r"(?im)^\h*CN\h*[A-Z]?\h*[\d\h]+[ABU]?\h*", r"(?m)^\h*\d+\h*")
 CN_NUMBER = r"CN\s+(\d)\s+(\d)\s+(\d)\s+(\d)\s+(\d+)\s+([ABU])"
 BLOCK_ARTIFACTS = (r"(?m)^\s*权\s*利\s*要\s*求\s*书.*$", r"(?im)^\s*CN\s*[A-Z]?\s*[\d\s]+[ABU]?\s*$", r"(?m)^\s*\d+\s*$")
+# What refers to a part of a drawing, and what names a figure.
+REFERENCE = r"\b(?:\d+[A-Za-z]+|[A-Za-z]{1,8}\d+[A-Za-z]*|W\d+|SGMC\d+|MS\d+|IF\d+|CS|DR|CR|FG|CG|SG|EG)\b"
+CAPTION = r"(?i)图\s*(\d+)|FIG\.?\s*(\d+)|도\s*(\d+)"
+DESCRIBED = r"^(图\s*\d+[^。；\n]*[。；]?)"
+# Words by which a question names a country, in order, and the country's prefix of ids.
+COUNTRY_WORDS = (("us", ("us", "미국")), ("cn", ("cn", "중국")), ("kr", ("kr", "한국")))

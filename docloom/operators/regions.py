@@ -18,6 +18,7 @@ from docloom.functions import rules
 from docloom.functions import text as tx
 from docloom.operators import claims as cl
 from docloom.operators import locate
+from docloom.sources.store import written
 
 CUT, END = "\u0001", "\u0002"
 FALLBACK_PAGES, KR_PAGES, REGION = 8, 6, 120_000
@@ -30,20 +31,23 @@ def u(pattern: str) -> str:
 
 
 def numbered_pages(pages: DataFrame, countries: DataFrame) -> DataFrame:
-    """doc_id, page_no, text, country, n_pages, and window: a page's text with the next two pages'."""
+    """doc_id, page_no, text, country, n_pages, and what a page shows: cue, looks (like claims), description.
+
+    A page is looked at together with the next two.
+    """
     by_doc = Window.partitionBy("doc_id")
     in_order = by_doc.orderBy("page_no")
     rows = pages.select("doc_id", F.col("page_no").cast("int").alias("page_no"), F.coalesce("text", F.lit("")).alias("text")).join(countries.select("doc_id", "country"), "doc_id")
     rows = rows.withColumn("n_pages", F.count("*").over(by_doc).cast("int"))
-    return rows.withColumn("window", F.concat_ws("\n", "text", F.lead("text", 1).over(in_order), F.lead("text", 2).over(in_order)))
+    rows = rows.withColumn("window", F.concat_ws("\n", "text", F.lead("text", 1).over(in_order), F.lead("text", 2).over(in_order)))
+    return shown(rows).drop("window")
 
 
 def begins(c: Column, number: int, more: str = "") -> Column:
     return c.rlike(rf"(?imUd)^\s*{number}\s*[.:]\s+(?:{rules.CLAIM_OPENING}{more})")
 
 
-def page_range(rows: DataFrame) -> DataFrame:
-    """doc_id, country, n_pages, first_page, after_page of the claims (numbered_pages()); not for CN."""
+def shown(rows: DataFrame) -> DataFrame:
     text, page, country = F.col("text"), F.col("page_no"), F.col("country")
     us, kr = country == "US", country == "KR"
     cue = (kr & text.contains(rules.CLAIM_CUE["KR"])) | (us & text.rlike(u(rules.CLAIM_CUE["US"])))
@@ -56,8 +60,14 @@ def page_range(rows: DataFrame) -> DataFrame:
     late = (F.size(numbers) >= 3) & line
     terminal = (page >= F.col("n_pages") - 1) & line & (F.array_contains(numbers, 1) | text.rlike(u(rules.CANCELED_RANGE)))
     looks = F.when(us, (page > 1) & likely & (numbered | late | terminal)).otherwise((page <= FALLBACK_PAGES) & text.rlike(u(r"(^|\n)\s*1\s*[.．]")))
-    found = rows.filter(country != "CN").groupBy("doc_id", "country", "n_pages").agg(
-        F.min(F.when(cue, page)).alias("cue"), F.min(F.when(looks, page)).alias("looks"), F.min(F.when(description, page)).alias("description"))
+    return rows.withColumns({"cue": cue, "looks": looks, "description": description})
+
+
+def page_range(rows: DataFrame) -> DataFrame:
+    """doc_id, country, n_pages, first_page, after_page of the claims (numbered_pages()); not for CN."""
+    us = F.col("country") == "US"
+    least = {c: F.min(F.when(F.col(c), F.col("page_no"))).alias(c) for c in ("cue", "looks", "description")}
+    found = rows.filter("country <> 'CN'").groupBy("doc_id", "country", "n_pages").agg(*least.values())
     first = F.coalesce("cue", "looks")
     end = F.when(F.col("description") > first, F.col("description")).when(us, F.col("n_pages") + 1).otherwise(F.least(F.col("n_pages") + 1, first + KR_PAGES))
     return found.filter(first.isNotNull()).select("doc_id", "country", "n_pages", first.alias("first_page"), end.alias("after_page"))
@@ -81,9 +91,8 @@ def blocks(regions: DataFrame, part: Column) -> DataFrame:
     return each.select(*regions.columns, "block_no", F.substring_index("_part", END, 1).alias("claim_no"), F.substring_index("_part", END, -1).alias("raw_text"))
 
 
-def by_pages(rows: DataFrame) -> DataFrame:
-    """Claims of documents that are not CN: doc_id, country, block_no, claim_no, raw_text."""
-    spans = page_range(rows)
+def by_pages(rows: DataFrame, spans: DataFrame) -> DataFrame:
+    """Claims of documents that are not CN: doc_id, country, block_no, claim_no, raw_text. spans: page_range()."""
     inside = rows.select("doc_id", "page_no", "text").join(spans, "doc_id").filter((F.col("page_no") >= F.col("first_page")) & (F.col("page_no") < F.col("after_page")))
     body = F.when(F.col("country") == "US", F.regexp_replace("text", u(r"(?s)\A.*?(?:" + rules.CLAIM_HEADER + ")"), "")).otherwise(F.col("text"))
     regions = cl.once(joined(inside, "country"), body=body)
@@ -126,9 +135,8 @@ def by_regions(rows: DataFrame) -> DataFrame:
     return found.withColumn("raw_text", F.regexp_replace(F.regexp_replace(raw, "\n{3,}", "\n\n"), ENDS, ""))
 
 
-def claim_pages(rows: DataFrame, cn: DataFrame) -> DataFrame:
+def claim_pages(rows: DataFrame, spans: DataFrame, cn: DataFrame) -> DataFrame:
     """doc_id, page_no: pages of claims, where the rules of the country name some."""
-    spans = page_range(rows)
     others = rows.select("doc_id", "page_no").join(spans.select("doc_id", "first_page", "after_page"), "doc_id").filter("page_no >= first_page and page_no < after_page").select("doc_id", "page_no")
     docs = cn.groupBy("doc_id").agg(F.max("skipped").alias("skipped"))
     scanned = rows.join(docs, "doc_id").filter(~F.col("skipped") | (F.col("page_no") > 1))
@@ -143,11 +151,12 @@ def extracted(pages: DataFrame, countries: DataFrame) -> DataFrame:
 
     pages: doc_id, page_no, text; countries: doc_id, country (US, KR, CN or others).
     """
-    rows = numbered_pages(pages, countries)
-    cn = by_regions(rows)
+    rows = written(numbered_pages(pages, countries), "pages")
+    spans, cn = written(page_range(rows), "spans"), written(by_regions(rows), "regions")
     kept = cn.filter((F.col("n") == 1) & (F.col("raw_text") != ""))
-    every = by_pages(rows).unionByName(kept.select("doc_id", "country", "block_no", "claim_no", "raw_text"))
-    allowed = claim_pages(rows, cn)
+    every = written(by_pages(rows, spans).unionByName(kept.select("doc_id", "country", "block_no", "claim_no", "raw_text")), "claims")
+    allowed = written(claim_pages(rows, spans, cn), "claim-pages")
+    rows = rows.join(every.select("doc_id").distinct(), "doc_id", "left_semi")
     some = rows.join(allowed, ["doc_id", "page_no"], "left_semi").unionByName(rows.join(allowed.select("doc_id").distinct(), "doc_id", "left_anti"))
     some = some.select("doc_id", "page_no", "text")
     begin = every.select("doc_id", F.concat(F.lit("s"), F.col("block_no")).alias("key_id"), F.substring("raw_text", 1, 80).alias("text"))

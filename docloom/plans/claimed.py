@@ -11,11 +11,11 @@ from docloom.sources.readers import table
 
 here = Registry()
 query = here.query
-US_CLAIMS = "1. A memory device comprising:\na cell array; and\na page buffer.\n2. The memory device of claim 1, wherein the page buffer\nlatches data.\n3. The memory device of claim 2, wherein FIG. 3 is shown.\n"
+US_CLAIMS = "1. A memory device comprising:\na cell array; and\na page buffer.\n2. The memory device of claim 1, wherein the page buffer\nof circuit PB110 latches data.\n3. The memory device of claim 2, wherein FIG. 3 is shown.\n"
 #: id, country, pages: with and without a header cue, with claims after the description, over pages, on the cover only, and none.
 PATENTS: tuple[tuple[int, str, tuple[str, ...]], ...] = (
-    (-1, "US", ("United States Patent\nMemory device", "Detailed Description\nA device is shown.", "What is claimed is:\n" + US_CLAIMS, "4. A method of reading, comprising\nsensing a cell.\n10. The method of claim 4, configured to wait.")),
-    (-2, "US", ("United States Patent", "U.S. Patent Sheet 1 of 3 FIG. 1", "BACKGROUND\nSome text.", US_CLAIMS, "5. (canceled)\n6. An apparatus including a host.")),
+    (-1, "US", ("United States Patent\nMemory device", "Detailed Description\nA device D10 is shown, with a buffer 20a.", "What is claimed is:\n" + US_CLAIMS, "4. A method of reading, comprising\nsensing a cell.\n10. The method of claim 4, configured to wait.")),
+    (-2, "US", ("United States Patent", "U.S. Patent Sheet 1 of 3 FIG. 1\nS10 W20 100", "BACKGROUND\nSome text.", US_CLAIMS, "5. (canceled)\n6. An apparatus including a host.")),
     (-3, "US", ("U.S. Patent", "text", "more text", "the last page\n1. A system comprising a host and a bus.")),
     (-4, "US", ("only a cover",)),
     (-5, "KR", ("대한민국특허청\n반도체 장치", "청구범위\n청구항 1\n메모리 셀 어레이를 포함하는 반도체 장치.\n청구항 2\n청구항 1에 있어서, 상기 장치는 버퍼를 구비하는 반도체 장치.", "청구항 3\n청구항 2에 있어서, 상기 장치.\n발명의 설명", "기술분야")),

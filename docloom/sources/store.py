@@ -6,7 +6,7 @@ import json
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -24,6 +24,13 @@ def new_name(what: str) -> str:
     return f"{what}-{uuid.uuid4().hex[:12]}"
 
 
+def written(rows: DataFrame, what: str) -> DataFrame:
+    """rows, written to the shared folder and read again: what several steps use is computed once, and lost executors lose nothing."""
+    folder = f"{shared_folder(rows.sparkSession)}/{new_name(what)}"
+    rows.write.option("compression", "zstd").parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
 class Files:
     """File operations of whatever store Spark reads from."""
 
