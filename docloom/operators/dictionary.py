@@ -1,8 +1,9 @@
 """A table of label rules applied to texts in one pass, and what becomes of the labels found.
 
 A rule is a label and a pattern (Python's regular expressions, case does not matter). From each alternative of a pattern
-one literal is taken that every match of it must hold. All literals of all rules are looked for at once by one automaton, and
-a rule's pattern runs where one of its literals was met, over as many characters as a match can have on either side. So the cost of a
+the literals are taken that every match of it must hold. The longest ones of all rules are looked for at once by one
+automaton, and where one is met with the alternative's others near it, the rule's pattern runs over as many characters as a
+match can have on either side. So the cost of a
 text is that of one pass and of short searches, however many rules there are and however long it is. A pattern whose
 matches have no bound of WIDEST characters runs over the whole text once a literal was met; a rule with an alternative
 that holds no literal always does.
@@ -90,17 +91,18 @@ def folded(text: str) -> str:
     return text.translate(ALIKE).lower()
 
 
-def literals(pattern: str) -> list[str] | None:
-    """A literal for each alternative; None if one has none. A pattern with inline flags or look-arounds has none."""
+def literals(pattern: str) -> list[tuple[str, ...]] | None:
+    """The literals of each alternative, the longest first; None if one has none. A pattern with inline flags or
+    look-arounds has none."""
     if "(?" in pattern.replace("(?:", ""):
         return None
     found = []
     for branch in alternatives(pattern):
         # letters beyond ASCII that have cases match in ways that lower() does not tell
-        sure = [r for r in runs(branch) if len(r) >= LEAST and all(c.isascii() or c.lower() == c.upper() for c in r)]
+        sure = [folded(r) for r in runs(branch) if len(r) >= LEAST and all(c.isascii() or c.lower() == c.upper() for c in r)]
         if not sure:
             return None
-        found.append(folded(max(sure, key=len)))
+        found.append(tuple(sorted(dict.fromkeys(sure), key=len, reverse=True)))
     return found
 
 
@@ -116,11 +118,11 @@ class Rules:
             self.wide[k] = widest if widest <= WIDEST else None
             if some is None:
                 self.always.append(k)
-            for x in some or ():
-                met.setdefault(x, set()).add(k)
+            for first, *others in some or ():
+                met.setdefault(first, set()).add((k, self.wide[k], tuple(others)))
         self.automaton = ahocorasick.Automaton()
-        for x, ks in met.items():
-            self.automaton.add_word(x, (len(x), tuple(sorted(ks))))
+        for x, uses in met.items():
+            self.automaton.add_word(x, (len(x), tuple(sorted(uses, key=str))))
         if met:
             self.automaton.make_automaton()
 
@@ -137,15 +139,24 @@ class Rules:
             return []
         low = folded(text)
         hit, whole = set(), set(self.always)
-        for end, (size, ks) in self.automaton.iter(low) if len(self.automaton) else ():
-            for k in ks:
+        if len(low) != len(text):
+            whole.update(range(len(self.labels)))
+        n, find = len(text), low.find
+        for end, (size, uses) in self.automaton.iter(low) if len(self.automaton) else ():
+            for k, wide, others in uses:
                 if k in hit or k in whole:
                     continue
-                wide = self.wide[k]
-                if wide is None or len(low) != len(text):
+                if wide is None:
                     whole.add(k)
-                elif self._meets(k, text, max(end + 1 - size - wide, 0), min(end + 2 + wide, len(text))):
-                    hit.add(k)
+                    continue
+                begin = end + 1 - size - wide
+                begin = begin if begin > 0 else 0
+                for x in others:
+                    if find(x, begin, end + 1 + wide) < 0:
+                        break
+                else:
+                    if self._meets(k, text, begin, min(end + 2 + wide, n)):
+                        hit.add(k)
         hit.update(k for k in whole if self._meets(k, text))
         return list(dict.fromkeys(self.labels[k] for k in sorted(hit)))
 
