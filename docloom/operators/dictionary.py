@@ -55,6 +55,32 @@ def alternatives(pattern: str) -> list[str]:
     return [*out, pattern[start:]]
 
 
+def expanded(branch: str, most: int = 16) -> list[str]:
+    """The branch with its first plain group replaced by each of the group's alternatives, and so on; every match of the branch
+    is one of these. Groups with a quantifier or a further group in them stay."""
+    k = 0
+    while k < len(branch):
+        c = branch[k]
+        if c == "\\":
+            k += 2
+            continue
+        if c == "[":
+            end = branch.find("]", k + 2)
+            k = end + 1 if end >= 0 else len(branch)
+            continue
+        if c == "(":
+            end = branch.find(")", k)
+            inside = branch[k + 1:end].removeprefix("?:")
+            if end > 0 and not set(inside) & set("()[]\\") and branch[end + 1:end + 2] not in tuple("?*+{"):
+                options = inside.split("|")
+                if len(options) > most:
+                    return [branch]
+                return [y for x in options for y in expanded(f"{branch[:k]}{x}{branch[end + 1:]}", most // len(options))]
+            return [branch]
+        k += 1
+    return [branch]
+
+
 def runs(branch: str) -> Iterator[str]:
     """Plain characters outside groups and classes that follow each other in every match of the branch."""
     now, depth, k = "", 0, 0
@@ -97,9 +123,10 @@ def literals(pattern: str) -> list[tuple[str, ...]] | None:
     if "(?" in pattern.replace("(?:", ""):
         return None
     found = []
-    for branch in alternatives(pattern):
+    for branch in (x for some in alternatives(pattern) for x in expanded(some)):
         # letters beyond ASCII that have cases match in ways that lower() does not tell
-        sure = [folded(r) for r in runs(branch) if len(r) >= LEAST and all(c.isascii() or c.lower() == c.upper() for c in r)]
+        plain = ["".join(c if c.isascii() or c.lower() == c.upper() else "\0" for c in r).split("\0") for r in runs(branch)]
+        sure = [folded(x) for some in plain for x in some if len(x) >= LEAST]
         if not sure:
             return None
         found.append(tuple(sorted(dict.fromkeys(sure), key=len, reverse=True)))

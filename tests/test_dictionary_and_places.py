@@ -47,7 +47,7 @@ def test_context_at_the_ends_of_a_search():
 
 
 @pytest.mark.parametrize(("pattern", "want"), [
-    ("memory plane|平面", [("memory plane",), ("平面",)]), ("ab+cd", [("ab", "cd")]), ("abc?def", [("def", "ab")]), ("a.b", None), (r"\bect\b", [("ect",)]), ("x[ab]|yy", None), ("(ab|cd)ef", [("ef",)]), ("ab{2}cde", [("cde",)]), ("é컴é퓨", None), ("(?=ab)abc", None), (r"ab\|cd", [("ab|cd",)]), ("a[]|b]cd|ef", [("cd",), ("ef",)])])
+    ("memory plane|平面", [("memory plane",), ("平面",)]), ("ab+cd", [("ab", "cd")]), ("abc?def", [("def", "ab")]), ("a.b", None), (r"\bect\b", [("ect",)]), ("x[ab]|yy", None), ("(ab|cd)ef", [("abef",), ("cdef",)]), ("xy (?:a(?:b)|c)d", [("xy ",)]), ("(ab|cd)?ef", [("ef",)]), (r"a\(b(?:cd|e)", [("a(bcd",), ("a(be",)]), ("ab{2}cde", [("cde",)]), ("é컴é퓨", None), ("aéxyzé", [("xyz",)]), ("(?=ab)abc", None), (r"ab\|cd", [("ab|cd",)]), ("a[]|b]cd|ef", [("cd",), ("ef",)])])
 def test_literals_of_a_pattern(pattern, want):
     assert dictionary.literals(pattern) == want
 
