@@ -99,3 +99,5 @@ CAPTION = r"(?i)图\s*(\d+)|FIG\.?\s*(\d+)|도\s*(\d+)"
 DESCRIBED = r"^(图\s*\d+[^。；\n]*[。；]?)"
 # Words by which a question names a country, in order, and the country's prefix of ids.
 COUNTRY_WORDS = (("us", ("us", "미국")), ("cn", ("cn", "중국")), ("kr", ("kr", "한국")))
+# Words of a question that say nothing.
+STOP_TERMS = ("관련", "특허", "후보", "비교", "정리", "알려줘", "대해서", "기술", "patent", "candidate", "compare", "method", "device", "system")

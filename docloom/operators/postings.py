@@ -193,10 +193,13 @@ class Index:
         return rows.join(F.broadcast(few), "token")  # tokens of at most QUERIES_AT_ONCE phrases
 
 
-def opened(spark: SparkSession, docs: DataFrame, folder: str | None = None) -> Index:
-    """The index of docs: the one written before for the same files, else a new one in the shared folder."""
+def opened(spark: SparkSession, docs: DataFrame, what: str = "documents", folder: str | None = None) -> Index:
+    """The index of docs: the one written before for the same files, else a new one in the shared folder.
+
+    what: names what docs are of their files' rows, if that is not the rows themselves.
+    """
     files = Files(spark)
-    mark = hashlib.sha256("\n".join([FORMAT] + sorted(files.stamp(f) for f in docs.inputFiles())).encode()).hexdigest()[:16]
+    mark = hashlib.sha256("\n".join([FORMAT, what] + sorted(files.stamp(f) for f in docs.inputFiles())).encode()).hexdigest()[:16]
     index = Index(spark, f"{folder or shared_folder(spark)}/index-{mark}")
     return index if index.state()["parts"] else index.add(docs)
 
