@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from docloom.functions import text as tx
 from docloom.operators import evidence, jobs, labels, postings, search
-from docloom.plans import changes, claimed, indexed, labelled, located, patents, placed, ranked, reports, streamed
+from docloom.plans import changes, claimed, flowing, indexed, labelled, located, patents, placed, ranked, reports, streamed
 from docloom.sources.readers import table
 
-QUERIES: dict = reports.QUERIES | labelled.QUERIES | patents.QUERIES | indexed.here.queries | located.here.queries | claimed.here.queries | changes.here.queries | streamed.here.queries | placed.here.queries | ranked.here.queries
-SQL: dict[str, str] = reports.SQL | labelled.SQL | patents.SQL | indexed.here.sql | located.here.sql | claimed.here.sql | changes.here.sql | placed.here.sql
+QUERIES: dict = reports.QUERIES | labelled.QUERIES | patents.QUERIES | indexed.here.queries | located.here.queries | claimed.here.queries | changes.here.queries | streamed.here.queries | placed.here.queries | ranked.here.queries | flowing.here.queries
+SQL: dict[str, str] = reports.SQL | labelled.SQL | patents.SQL | indexed.here.sql | located.here.sql | claimed.here.sql | changes.here.sql | placed.here.sql | flowing.here.sql
 
 
 def query(sql: str):
