@@ -1,15 +1,21 @@
 """Operator 9, HTML extraction by line-block distribution.
 
-A page is stripped of markup into lines, one for each block element. Text of menus, headers, footers, sidebars,
-notices, adverts, forms and comments is left out; where the site's own parts (not adverts or forms within the text) stood,
-and at the border of article and main elements, BLOCK empty lines mark the break. Outside of these elements a line that is
-all links counts no text, as menus do. The text lengths of BLOCK lines from each line on are summed. Where a sum surges to
+A page is stripped of markup into lines, one for each block element. What site elements hold (nav, header, footer, aside, menu) and
+dialogs, buttons, scripts, hidden elements and reader comments is left out; where site elements stood, and at
+the border of article and main elements, BLOCK empty lines mark the break. A line's size is its text outside of articles
+less the text of its links, as menus are links. The sizes of BLOCK lines from each line on are summed. Where a sum surges to
 SURGE characters a region is found; it reaches back to the line after the last sum of 0, and on to where the sum dives to
 0. The lines from the first region's surge to the last one's dive are kept, all that have text.
 
+Forms, noscript, object and canvas, and elements whose class, id or role says advert, menu, notice and the like are marked: each
+outermost one is a run of lines of its own, whose sizes count one in MARKED, kept if its sums surge. A mark is told by whole words
+of a name ("cookie-banner", not "no-sidebar", "post-header" or "related-work"), and it is void where the element holds an article or
+main, or, on a page with no article outside of marks, more than half of the text and SURGE characters.
+
 Defined results: null or empty html, or html without text: '' and 0; no sum that surges: the region with most
 text, the first of equals; unclosed elements end with their parent; a tag whose quotes do not close ends at its first '>', and
-quotes are not heeded from there on; repeated rows give the same; an empty table gives no rows; extra columns do not matter.
+quotes are not heeded from there on; the text of math is text; svg, iframe, template and textarea have none;
+repeated rows give the same; an empty table gives no rows; extra columns do not matter.
 """
 
 from __future__ import annotations
@@ -17,6 +23,7 @@ from __future__ import annotations
 import html as references
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -25,15 +32,23 @@ from pyspark.sql import functions as F
 from .shared import small_batches, table
 
 BLOCK, SURGE = 3, 100  # lines in a sum; characters at which it opens a region
+MARKED = 16  # so many characters of a marked element count as one
 
 # Element names and the words of class, id and role by which an element is told.
 BLOCKS = frozenset("address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead title tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea svg iframe object canvas math".split())
+RAW = frozenset("script style template textarea svg iframe".split())
 #: Parts of the site, at which the text breaks off; the other dropped elements may stand within it.
 SITE = frozenset("nav header footer aside menu".split())
-DROPPED = frozenset("head title nav header footer aside form menu button select dialog".split())
-BAD = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|adbox|adsense|sponsor\w*|promo\w*|banner|nav|navbar|navigation|menu|breadcrumbs?|sidebar|footer|header|masthead|cookies?|consent|notice|notification|popup|modal|newsletter|subscribe|share|sharing|social|related|recommended|comments?|replies|respond|disqus|login|search|widget|pagination|pager|toolbar|skip|complementary|contentinfo)(?:$|[\s_-])", re.I)
+DROPPED = frozenset("head title nav header footer aside menu button select dialog".split())
+MARKED_NAMES = frozenset("form noscript object canvas".split())
+WORDS = frozenset("ad ads adbox adsense banner nav navbar navigation menu breadcrumb breadcrumbs sidebar footer header masthead cookie cookies consent notice notification popup modal newsletter subscribe share sharing social related recommended login search widget pagination pager toolbar skip complementary contentinfo".split())
+STEMS = ("advert", "sponsor", "promo")
+DISCUSSION = frozenset("comment comments commentlist replies respond disqus".split())
+#: What may stand beside these words in a name; with another word beside it a name says something else.
+BESIDE = frozenset("site page global main top bottom left right primary secondary box bar list item items block area wrap wrapper container inner outer section row slot unit links link buttons button posts articles news content text message body form panel group sticky fixed overlay thread".split())
+NOT = frozenset("no not has with without hide is".split())
+OF_AN_ARTICLE = frozenset("header banner masthead".split())  # within one these are its own
 ALWAYS = frozenset("html body article main".split())
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 ENDS_P = BLOCKS - {"br", "option", "body", "html", "head"}
@@ -44,14 +59,37 @@ MARKS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]
 HIDDEN = re.compile(r"\bhidden\b(?!\s*=)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 
 
-def dropped(name: str, tag: str) -> bool:
+PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[^\W\d_]+")
+
+
+@lru_cache(4096)
+def said(name: str, in_article: bool) -> int:
+    """What a name of class, id or role says: 2 reader comments, 1 another part that is not text, 0 nothing."""
+    parts = [x.lower() for x in PARTS.findall(name)]
+    if not parts or parts[0] in NOT:
+        return 0
+    known = [x in WORDS and not (in_article and x in OF_AN_ARTICLE) or x.startswith(STEMS) for x in parts]
+    talk = [x in DISCUSSION for x in parts]
+    whole = all(k or t or x in BESIDE or x in WORDS for k, t, x in zip(known, talk, parts, strict=True))
+    if talk[-1] or any(talk) and whole:
+        return 2
+    return int(whole and any(known))
+
+
+def dropped(name: str, tag: str, in_article: bool = False) -> int:
+    """2: an element is left out; 1: it is marked."""
     if name in DROPPED:
-        return True
-    if name in ALWAYS or "=" not in tag:
-        return False
-    if any(BAD.search(m[1] or m[2] or m[3] or "") for m in MARKS.finditer(tag)):
-        return True
-    return bool(HIDDEN.search(re.sub(r"\"[^\"]*\"|'[^']*'", lambda m: m.group() if "none" in m.group() or "true" in m.group() else '""', tag)))
+        return 2
+    marked = int(name in MARKED_NAMES)
+    if name in ALWAYS or "=" not in tag and "hidden" not in tag.lower():
+        return marked
+    for m in MARKS.finditer(tag):
+        for word in (m[1] or m[2] or m[3] or "").split():
+            if len(word) <= 100:
+                marked = max(marked, said(word, in_article))
+    if marked == 2 or HIDDEN.search(re.sub(r"\"[^\"]*\"|'[^']*'", lambda m: m.group() if "none" in m.group() or "true" in m.group() else '""', tag)):
+        return 2
+    return marked
 
 
 def tags(page: str) -> Iterator[tuple[int, int]]:
@@ -85,11 +123,14 @@ def tags(page: str) -> Iterator[tuple[int, int]]:
             at = page.find("<", at + 1)
 
 
-Line = tuple[str, bool, bool, bool]  # text, in an article, all links, after a break
+Line = tuple[str, bool, int, bool, int]  # text, in an article, characters outside of links, after a break, innermost mark (0: none)
 
 
-def lines(page: str) -> Iterator[Line]:
-    open_: list[tuple[str, bool]] = []  # name, dropped
+def lines(page: str, marks: list[tuple[int, bool]] | None = None) -> Iterator[Line]:
+    """The lines of a page. marks gets, for each mark in page order, the mark around it (0: none) and whether it holds an article."""
+    marks = [] if marks is None else marks
+    open_: list[tuple[str, bool, int]] = []  # name, dropped, the mark around a marked element (-1: not marked)
+    mark = 0
     many: dict[str, int] = {}  # how many elements of a name are open
     buffer: list[str] = []
     bad = articles = at = links = free = 0  # free: characters of the line outside of links
@@ -98,18 +139,19 @@ def lines(page: str) -> Iterator[Line]:
     def flush() -> list[Line]:
         nonlocal broken, free
         text = " ".join(references.unescape("".join(buffer)).split())
-        linked, before = free == 0, broken
+        outside, before = free, broken
         buffer.clear()
         free = 0
         if not text:
             return []
         broken = False
-        return [(text, articles > 0, linked, before)]
+        return [(text, articles > 0, min(outside, len(text)), before, mark)]
 
     def close(upto: int) -> None:
-        nonlocal bad, articles, links, broken
+        nonlocal bad, articles, links, broken, mark
         while len(open_) > upto:
-            name, was_bad = open_.pop()
+            name, was_bad, around = open_.pop()
+            mark = around if around >= 0 else mark
             many[name] -= 1
             bad -= was_bad
             links -= name == "a"
@@ -138,6 +180,8 @@ def lines(page: str) -> Iterator[Line]:
             if many.get(name):
                 for k in range(len(open_) - 1, -1, -1):
                     if open_[k][0] == name:
+                        if name not in BLOCKS and (open_[k][1] or open_[k][2] >= 0):
+                            yield from flush()
                         close(k)
                         break
                     if open_[k][0] in ("article", "main", "td", "table") and name not in ("article", "main", "table", "body", "html", "div", "section"):
@@ -165,12 +209,21 @@ def lines(page: str) -> Iterator[Line]:
             found = re.compile(rf"</{re.escape(name)}\b", re.I).search(page, at)
             at = (page.find(">", found.end()) + 1 or len(page)) if found else len(page)
             continue
-        is_bad = dropped(name, tag) and not (name == "header" and articles)
-        if is_bad:
+        how = 0 if name == "header" and articles else dropped(name, tag, articles > 0)
+        is_bad = how == 2
+        if how:
             yield from flush()
         if is_bad and not bad and not articles and name in SITE:
             broken = True
-        open_.append((name, is_bad))
+        if name in ("article", "main") and mark and not bad:
+            up = mark
+            while up and not marks[up - 1][1]:
+                marks[up - 1] = (marks[up - 1][0], True)
+                up = marks[up - 1][0]
+        open_.append((name, is_bad, mark if how == 1 else -1))
+        if how == 1:
+            marks.append((mark, False))
+            mark = len(marks)
         many[name] = many.get(name, 0) + 1
         bad += is_bad
         links += name == "a"
@@ -181,11 +234,11 @@ def lines(page: str) -> Iterator[Line]:
 def regions(page: list[Line], surge: int = SURGE) -> tuple[int, int]:
     """The first line that is kept, and the one after the last."""
     sizes, where = [], []
-    for k, (text, article, linked, after) in enumerate(page):
+    for k, (text, article, free, after, _) in enumerate(page):
         if k and (after or article != page[k - 1][1]):
             sizes += [0] * BLOCK
             where += [k] * BLOCK
-        sizes.append(0 if linked and not article else len(text))
+        sizes.append(len(text) if article else free)
         where.append(k)
     sums = [sum(sizes[i : i + BLOCK]) for i in range(len(sizes))]
     found: list[tuple[int, int, int, int]] = []  # start, dive, highest sum, text
@@ -204,12 +257,45 @@ def regions(page: list[Line], surge: int = SURGE) -> tuple[int, int]:
     return (where[kept[0][0]], where[kept[-1][1] - 1] + 1) if kept else (0, 0)
 
 
-def main_text(page: str | None) -> str:
-    if not page:
-        return ""
-    found = list(lines(page))
-    first, after = regions(found)
-    return " ".join(line[0] for line in found[first:after])
+def outermost(page: list[Line], marks: list[tuple[int, bool]]) -> list[int]:
+    """Each line's outermost mark that holds, or 0."""
+    size = [0] * (len(marks) + 1)
+    for text, _, _, _, mark in page:
+        size[mark] += len(text)
+    for m in range(len(marks), 0, -1):
+        size[marks[m - 1][0]] += size[m]
+    articles = any(article and not mark for _, article, _, _, mark in page) or any(holds for _, holds in marks)
+    top = [0] * (len(marks) + 1)
+    for m, (around, holds) in enumerate(marks, 1):
+        void = holds or not articles and 2 * size[m] > size[0] and size[m] >= SURGE
+        top[m] = top[around] or (0 if void else m)
+    return [top[line[4]] for line in page]
+
+
+def kept(page: str, surge: int = SURGE) -> list[str]:
+    """The lines of a page's text."""
+    marks: list[tuple[int, bool]] = []
+    found = list(lines(page, marks))
+    runs: dict[int, list[int]] = {}
+    plain, broken = [], False
+    for k, top in enumerate(outermost(found, marks)):
+        broken |= found[k][3]
+        runs.setdefault(top, []).append(k)
+        if not top:
+            plain.append((*found[k][:3], broken, 0))
+            broken = False
+    own = runs.pop(0, [])
+    first, after = regions(plain, surge)
+    out = own[first:after]
+    for run in runs.values():
+        sizes = [found[k][2] for k in run]
+        if any(sum(sizes[i : i + BLOCK]) >= surge * MARKED for i in range(len(sizes))):
+            out += run
+    return [found[k][0] for k in sorted(out)]
+
+
+def main_text(page: str | None, surge: int = SURGE) -> str:
+    return " ".join(kept(page, surge)) if page else ""
 
 
 def extracted(pages: DataFrame) -> DataFrame:
