@@ -1,7 +1,7 @@
 """Operator 8, personal data: a linear-chain conditional random field over word shapes, beside exact patterns.
 
 The patterns give the base spans. The field is trained on the driver from a small labelled table (the
-lines of TRAINING, filled with made-up values), and finds what the patterns miss: addresses written
+sentences below, filled with made-up values), and finds what the patterns miss: addresses written
 with (at) and dot, telephone numbers without a plus, numbers grouped by other marks. Its sequences are the
 neighbourhoods of words that hold a digit, an at sign, "at" or "dot" in any case (MARGIN words on each side,
 overlapping ones joined): a span without one of these is not kept. Sequences of a batch are decoded together
@@ -17,6 +17,7 @@ import hashlib
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,40 +43,56 @@ MARK = re.compile(r"\b(?:at|dot)\b", re.I)
 LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 WIDTH = 1 << 12  # hashed features
 
-# The labelled table: {kind} stands for a value of that kind, {number}, {date}, {version}, {key} for what is none.
-TRAINING = """
-Please write to {email} before noon.
-contact: {email}, or ask at the desk
-his address was {email} and hers {email}
-thonea {email} ereng the anst
-{email}
-Call {phone} for help.
-tel. {phone} or {phone}, any day
-the number {phone} is ours
-oned in {phone} the erst
-phone: {phone}
-paid with card {card} on {date}
-{card} was charged twice
-the ing {card} ander
-card no. {card}, valid until {date}
-logged in from {ip} at night
-host {ip} refused the packet
-ean {ip} thon
+OFFSETS = (-2, -1, 0, 1, 2)  # the words whose features a place has
+# The labelled table. Every form of a value stands in every sentence of its kind and of ANY, {v} for the value; PLAIN has none to find:
+# {number}, {date}, {version}, {key} stand for what is no personal data.
+ANY = """
+Please write to {v} before noon.
+contact: {v}, or ask at the desk
+his was {v} and hers {v}
+thonea {v} ereng the anst
+{v}
+We have {v} on file, they said.
+see {v} for more
+on {date} we noted {v} there
+the {number} of {v} are gone
+({v})
+it is {v}. Then we left
+new one {v} (see below) as of {date}
+ask for {v} when it is late
+{v}, now and then
+"""
+SENTENCES = {
+    "email": "mail {v} today\ne-mail: {v}\nsend it to {v} at once",
+    "phone": "Call {v} for help.\ntel. {v} or {v}, any day\nthe number {v} is ours\nphone: {v}\nring me at {v} at night",
+    "card": "paid with card {v} on {date}\n{v} was charged twice\ncard no. {v}, valid until {date}",
+    "ip": "logged in from {v} at night\nhost {v} refused the packet",
+}
+PLAIN = """
 on {date} we sold {number} boxes
 version {version} came out, and then {version}
 Licensed under the licence, Version {version}
 chapter {number}, page {number} and line {number}
 in {number} there were {number} of them
 look at the dot on the map
+we met at noon at the {number} gate
+a dot and a line at one end
+stay at home or dot the line
+at {number} dot {number} they stood
 the total of {number} items cost {number}
+{number} {number} {number} {number}
+{number}-{number} and {number}/{number}
+{number}, {number}, {number}
 password={key} was set
 token = "{key}" in the file
 key {key} expires on {date}
 order {number} of {date} shipped
 born in {number} at home
 a ratio of {version} to {number}
-thin the and of er
+thin the and of er at thes an
 see section {version} on page {number}
+from {date} to {date}
+a thing (or two) at the end (of it), and so on
 """
 
 
@@ -139,55 +156,83 @@ def shape(word: str) -> str:
     return re.sub(r"9{5,}", "9+", re.sub(r"([aA])\1+", r"\1", s))[:40]
 
 
+#: Words that are features themselves: those of the sentences, and marks and endings of addresses; not those of values.
+KNOWN = frozenset(w.lower().strip(".,:;()") for w in " ".join([ANY, *SENTENCES.values(), PLAIN, "com org net"]).split() if "{" not in w)
+
+
+BRACKETS = str.maketrans("[{<]}>", "((()))")  # all brackets are alike
+
+
 def features(word: str) -> list[int]:
-    word = MARK.sub(lambda m: m.group().lower(), word)
+    word = MARK.sub(lambda m: m.group().lower(), word).translate(BRACKETS)
     digits = len(DIGITS.findall(word))
-    s = shape(word)
-    names = [f"s{s}", f"d{min(digits, 20)}", f"g{min(digits // 4, 5)}", f"f{s[:2]}", f"l{s[-2:]}", f"@{'@' in word}", f"m{''.join(sorted(set(re.sub(r'[\w\s]', '', word))))[:6]}"]
-    if len(word) < 9:
-        names.append(f"w{word.lower().strip('.,:;')}")
+    s, core = shape(word), word.lower().strip(".,:;()[]{}<>\"'")
+    marks = "".join(sorted(set(re.sub(r"[\w\s]", "", word.strip(".,:;\"'")))))[:6]
+    names = [f"s{s}", f"c{shape(word.strip('.,:;'))}", f"d{min(digits, 20)}", f"g{min(digits // 4, 5)}", f"f{s[:2]}", f"l{s[-2:]}", f"@{'@' in word}", f"m{marks}", f"z{word.strip('(+').startswith('0') and digits}", f"a{not digits}{core.isalnum()}"]
+    if core in KNOWN:
+        names.append(f"w{core}")
     return [zlib.crc32(x.encode("utf-8", "surrogatepass")) % WIDTH for x in names]
 
 
-def _example_value(kind: str, r: np.random.Generator) -> str:
+def forms(r: np.random.Generator) -> dict[str, dict[str, str]]:
+    """A made-up value of every form of every kind."""
+    d = lambda n: "".join(map(str, r.integers(0, 10, n)))
+    name = lambda: "".join(r.choice(list("abcdefghiklmnoprstuvw"), int(r.integers(3, 10))))
+    n, h = name(), f"{name()}{d(1) if r.random() < 0.3 else ''}"
+    end = str(r.choice(["com", "org", "net"]))
+    return {
+        "email": {"dotted": f"{n}.{d(2)}@{h}.example.{end}", "plain": f"{n}@{h}.{end}", "upper": f"{n.upper()}@{h}.{end}", "(at)": f"{n} (at) {h} dot {end}", "[at]": f"{n}[at]{h}[dot]{end}", "at": f"{n} at {h} dot {end}", "[at] .": f"{n} [at] {h}.{end}"},
+        "phone": {"+1": f"+1 ({d(3)}) 555-{d(4)}", "555": f"({d(3)}) 555-{d(4)}", "()": f"({d(3)}) {d(3)}-{d(4)}", "+": f"+{d(2)} {d(3)} {d(4)} {d(3)}", "-": f"{d(3)}-{d(3)}-{d(4)}", ".": f"{d(3)}.{d(3)}.{d(4)}", "+n": f"+{d(11)}", "0": f"0{d(3)} {d(3)} {d(4)}"},
+        "card": {"n": d(16), " ": f"{d(4)} {d(4)} {d(4)} {d(4)}", "-": f"{d(4)}-{d(4)}-{d(4)}-{d(4)}", ".": f"{d(4)}.{d(4)}.{d(4)}.{d(4)}", "465": f"{d(4)} {d(6)} {d(5)}"},
+        "ip": {".": ".".join(str(x) for x in r.integers(1, 256, 4))},
+    }
+
+
+def plain_value(kind: str, r: np.random.Generator) -> str:
     d = lambda n: "".join(map(str, r.integers(0, 10, n)))
     name = lambda: "".join(r.choice(list("abeinorst"), int(r.integers(3, 9))))
     pick = lambda *x: x[int(r.integers(len(x)))]
-    host = f"{name()}{pick('', d(1))}"
-    if kind == "email":
-        return pick(f"{name()}.{d(2)}@{host}.example.com", f"{name()}@{host}.org", f"{name()} (at) {host} dot com", f"{name()}[at]{host}[dot]org", f"{name()} at {host} dot net", f"{name().upper()}@{host}.net")
-    if kind == "phone":
-        return pick(f"+1 ({d(3)}) 555-{d(4)}", f"({d(3)}) 555-{d(4)}", f"({d(3)}) {d(3)}-{d(4)}", f"+{d(2)} {d(3)} {d(4)} {d(3)}", f"{d(3)}-{d(3)}-{d(4)}", f"{d(3)}.{d(3)}.{d(4)}", f"+{d(11)}", f"0{d(3)} {d(3)} {d(4)}")
-    if kind == "card":
-        return pick(d(16), d(16), f"{d(4)} {d(4)} {d(4)} {d(4)}", f"{d(4)}-{d(4)}-{d(4)}-{d(4)}", f"{d(4)}.{d(4)}.{d(4)}.{d(4)}", f"{d(4)} {d(6)} {d(5)}")
-    if kind == "ip":
-        return ".".join(str(x) for x in r.integers(1, 256, 4))
+    first = str(r.integers(1, 10))
     if kind == "date":
         return pick(f"20{d(2)}-0{r.integers(1, 10)}-1{d(1)}", f"1{d(1)}.0{r.integers(1, 10)}.20{d(2)}", f"{r.integers(1, 13)}/{r.integers(1, 29)}/19{d(2)}")
     if kind == "version":
-        return pick(f"{d(1)}.{d(1)}", f"{d(1)}.{d(1)}.", f"{d(1)}.{d(2)}.{d(1)}", f"{d(1)}.{d(1)}.\n")
+        return pick(f"{d(1)}.{d(1)}", f"{d(1)}.{d(1)}.", f"{d(1)}.{d(2)}.{d(1)}", f"{d(2)}.{d(3)}")
     if kind == "key":
         return pick(name() + d(3) + name() + d(8) + name(), "AK" + name().upper() + d(1) + name().upper(), d(7) + "a" + d(6) + "be" + d(5))
-    return pick(d(1), d(2), d(3), d(4), d(6), f"{d(3)},{d(3)}", f"{d(2)}%")
+    return pick(first, first + d(1), first + d(2), first + d(3), first + d(5), f"{first}{d(2)},{d(3)}", f"{first}{d(1)}%", f"{first}.{d(2)}", first + d(8))
+
 
+def training_table(copies: int = 3, seed: int = 7) -> list[tuple[list[str], list[int]]]:
+    """Words and labels: every form in every sentence of its kind, and the plain lines, `copies` times.
 
-def training_table(copies: int = 14) -> list[tuple[list[str], list[int]]]:
-    """words and labels of every line, filled `copies` times."""
-    r, out = np.random.default_rng(7), []
-    for line in TRAINING.strip().split("\n") * copies:
+    A word of a sentence is a made-up one half of the time, so that values are told by themselves and not by the sentence alone.
+    """
+    r = np.random.default_rng(seed)
+    work: list[tuple[str, str, str]] = []
+    for _ in range(copies):
+        for kind, some in forms(r).items():
+            work += [(line, kind, form) for form in some for line in [*ANY.strip().split("\n"), *SENTENCES[kind].split("\n")]]
+        work += [(line, "", "") for line in PLAIN.strip().split("\n") for _ in range(12)]
+    out = []
+    for line, kind, form in work:
         words, labels, glued = [], [], False
         for piece in re.split(r"(\{\w+\})", line):
-            kind = piece[1:-1] if piece.startswith("{") else ""
-            text = _example_value(kind, r) if kind else piece
+            what = piece[1:-1] if piece.startswith("{") else ""
+            if what:
+                text = forms(r)[kind][form] if what == "v" else plain_value(what, r)
+            else:
+                swap = lambda m: m.group() if m.group().lower() in ("at", "dot") or r.random() < 0.5 else "".join(r.choice(list("aeinorstdlh"), len(m.group())))
+                text = re.sub(r"[^\W\d_]{2,}", swap, piece)
             for i, w in enumerate(text.split()):
                 if glued and i == 0 and not text[0].isspace():
                     words[-1] += w
+                    if what == "v" and not labels[-1]:
+                        labels[-1] = LABELS.index(f"B-{kind}")  # behind an opening bracket
                 else:
                     words.append(w)
-                    labels.append(LABELS.index(f"{'I' if i else 'B'}-{kind}") if kind in KINDS else 0)
+                    labels.append(LABELS.index(f"{'I' if i else 'B'}-{kind}") if what == "v" else 0)
             if text:
                 glued = not text[-1].isspace()
-        # a value glued behind a word, as in password=..., has the word's label
         out.append((words, labels))
     return out
 
@@ -196,7 +241,7 @@ class Field:
     """weights of (offset, feature, label), and of label pairs."""
 
     def __init__(self):
-        self.emit = np.zeros((3 * WIDTH, len(LABELS)))
+        self.emit = np.zeros((len(OFFSETS) * WIDTH, len(LABELS)))
         self.move = np.zeros((len(LABELS), len(LABELS)))
 
     @staticmethod
@@ -208,8 +253,7 @@ class Field:
                     known.clear()
                 known[w] = np.array(features(w))
             own.append(known[w])
-        none = np.zeros(0, np.int64)
-        return [np.concatenate((own[i - 1] if i else none, own[i] + WIDTH, own[i + 1] + 2 * WIDTH if i + 1 < len(own) else none)) for i in range(len(own))]
+        return [np.concatenate([own[i + o] + k * WIDTH for k, o in enumerate(OFFSETS) if 0 <= i + o < len(own)]) for i in range(len(own))]
 
     def emissions(self, rows: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
         """Padded (sequences, places, labels) scores, and lengths."""
@@ -240,8 +284,33 @@ class Field:
             out.append(y)
         return out
 
+    def expected(self, e: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of emissions: each place's label probabilities, and the expected counts of label pairs, by forward and backward sums."""
+        n, t_max = len(LABELS), e.shape[1]
+        alive = np.arange(t_max)[None, :] < sizes[:, None]
+        fwd, bwd = np.zeros_like(e), np.zeros_like(e)
+        m = np.exp(self.move)
+        x = np.exp(e - e.max(axis=2, keepdims=True))
+        fwd[:, 0] = x[:, 0] / x[:, 0].sum(axis=1, keepdims=True)
+        for t in range(1, t_max):
+            f = (fwd[:, t - 1] @ m) * x[:, t]
+            fwd[:, t] = f / f.sum(axis=1, keepdims=True)
+        bwd[:, -1] = 1
+        for t in range(t_max - 2, -1, -1):
+            b = (x[:, t + 1] * bwd[:, t + 1]) @ m.T
+            b /= b.sum(axis=1, keepdims=True)
+            bwd[:, t] = np.where(alive[:, t + 1 : t + 2], b, 1.0)
+        p = fwd * bwd
+        p /= p.sum(axis=2, keepdims=True)
+        pair = np.zeros((n, n))
+        for t in range(1, t_max):
+            on = alive[:, t]
+            q = fwd[on, t - 1][:, :, None] * m[None] * (x[on, t] * bwd[on, t])[:, None, :]
+            pair += (q / q.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+        return p, pair
+
     def train(self, table: list[tuple[list[str], list[int]]], rounds: int = 60, rate: float = 0.3, ridge: float = 0.002) -> Field:
-        """Gradient steps (with per-weight scaling) on the log-likelihood, by forward and backward sums."""
+        """Gradient steps (with per-weight scaling) on the log-likelihood."""
         known: dict[str, np.ndarray] = {}
         rows = [self.indices(w, known) for w, _ in table]
         sizes = np.array([len(r) for r in rows])
@@ -258,32 +327,11 @@ class Field:
         g2e, g2m = np.full_like(self.emit, 1e-6), np.full_like(self.move, 1e-6)
         for _ in range(rounds):
             e, _ = self.emissions(rows)
-            s, t_max, _ = e.shape
-            alive = np.arange(t_max)[None, :] < sizes[:, None]
-            fwd, bwd = np.zeros_like(e), np.zeros_like(e)
-            m = np.exp(self.move)
-            scale = e.max(axis=2, keepdims=True)
-            x = np.exp(e - scale)
-            fwd[:, 0] = x[:, 0] / x[:, 0].sum(axis=1, keepdims=True)
-            for t in range(1, t_max):
-                f = (fwd[:, t - 1] @ m) * x[:, t]
-                fwd[:, t] = f / f.sum(axis=1, keepdims=True)
-            bwd[:, -1] = 1
-            for t in range(t_max - 2, -1, -1):
-                b = (x[:, t + 1] * bwd[:, t + 1]) @ m.T
-                b /= b.sum(axis=1, keepdims=True)
-                bwd[:, t] = np.where(alive[:, t + 1 : t + 2], b, 1.0)
-            p = fwd * bwd
-            p /= p.sum(axis=2, keepdims=True)
+            p, pair = self.expected(e, sizes)
             delta = -p[seq, place]
             delta[np.arange(len(gold)), gold] += 1
             ge = -ridge * self.emit
             np.add.at(ge, idx, delta[of])
-            pair = np.zeros((n, n))
-            for t in range(1, t_max):
-                on = alive[:, t]
-                q = fwd[on, t - 1][:, :, None] * m[None] * (x[on, t] * bwd[on, t])[:, None, :]
-                pair += (q / q.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
             gm = gold_move - pair - ridge * self.move
             g2e += ge**2
             g2m += gm**2
@@ -390,6 +438,7 @@ def shown(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for k, s, e in spans)
 
 
+@lru_cache(1)
 def trained() -> Field:
     return Field().train(training_table())
 
