@@ -55,6 +55,11 @@ def matched(text: Column, rules: dict[str, tuple[str, str]]) -> Column:
     return F.array_compact(F.array(*[F.when(text.rlike(near(*cues)), name) for name, cues in rules.items()]))
 
 
+def of_kind(kind: str, found: Column) -> Column:
+    """Labels with the name of their kind."""
+    return F.transform(found, lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("label")))  # a second argument of the function would be the index
+
+
 def labelled(docs: DataFrame) -> DataFrame:
     """doc_id, problems, effects: without a problem of its own a text has those that its effects answer, 4 at most."""
     rows = docs.select("doc_id", matched(F.col("text"), PROBLEMS).alias("own"), matched(F.col("text"), EFFECTS).alias("effects"))

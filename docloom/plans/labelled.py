@@ -33,7 +33,7 @@ ANSWERS = "map {" + ", ".join(f"'{k}': '{v}'" for k, v in lb.DERIVED.items()) +
 def label_rules(spark, d):
     docs = table(spark, d, "documents")
     sets = (("problem", lb.PROBLEMS), ("effect", lb.EFFECTS))
-    both = F.concat(*[F.transform(lb.matched(F.col("text"), rules), lambda x, kind=kind: F.struct(F.lit(kind).alias("kind"), x.alias("label"))) for kind, rules in sets])
+    both = F.concat(*[lb.of_kind(kind, lb.matched(F.col("text"), rules)) for kind, rules in sets])
     return docs.select("doc_id", F.explode(both).alias("x")).select("doc_id", "x.kind", "x.label")
 
 
