@@ -1,7 +1,9 @@
 """Rules of labels and of claims in texts, with the rows that the SQL gives."""
 
 import duckdb
+import pyarrow as pa
 
+from docloom.functions import measures
 from docloom.plans import catalog
 
 
@@ -19,3 +21,26 @@ def rows_of_both(spark, tmp_path, name, texts):
 def test_labels_keep_their_kind(spark, tmp_path):
     got, want = rows_of_both(spark, tmp_path, "label_rules", ["power consumption is high; energy saved", None, "", "data was lost and memory saved"])
     assert got == want and len(want) > 3
+
+
+ODD = ["es desverüau ver", "x desver y", "éFIG. 1 " * 30, None, "", " \n ", "A method. " + "ab cd " * 40, "S100 -- $200 | | | |", "— " * 20, "\U0001d400١ éß " * 50, "Aa " * 7 + "bb " * 8 + "cc " * 9, "The device comprising x"]
+
+
+def test_audit_takes_words_at_letters_beyond_ascii_as_the_sql_does(spark, tmp_path):
+    for name in ("claim_audit", "claim_audit_report", "claim_audit_worst"):
+        got, want = rows_of_both(spark, tmp_path, name, ODD)
+        assert got == want
+
+
+def test_labels_of_odd_texts(spark, tmp_path):
+    texts = ["power\rreduced", "power\nreduced", "power less", "ENERGY ſaved", "power" + "é" * 24 + "less", "power" + "é" * 25 + "less", None, ""]
+    for name in ("label_rules", "label_derive"):
+        got, want = rows_of_both(spark, tmp_path, name, texts)
+        assert got == want
+
+
+def test_pieces_are_small_and_whole(monkeypatch):
+    monkeypatch.setattr(measures, "PIECE", 10)
+    texts = pa.array(["abc", None, "x" * 50, "", "ab", "cd" * 3, "e"])
+    some = list(measures.pieces(texts))
+    assert pa.concat_arrays(some).equals(texts) and [len(x) for x in some] == [2, 1, 4]
