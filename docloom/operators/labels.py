@@ -1,4 +1,4 @@
-"""Rule labels, kinds, quantities, windows and chunks of texts; all but the chunks are column expressions."""
+"""Rule labels, kinds, quantities, windows and chunks of texts; all but the chunks are functions of a column."""
 
 from __future__ import annotations
 
@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.functions import text as tx
+from docloom.functions.measures import meeting
+from docloom.operators.claims import once
 
 NEAR = 24  # characters between the two cues of a rule
 #: label: two cues that must come near each other, in any order
@@ -52,7 +54,7 @@ def near(a: str, b: str) -> str:
 
 def matched(text: Column, rules: dict[str, tuple[str, str]]) -> Column:
     """The labels whose rule a text meets, in the order of the rules; none for null."""
-    return F.array_compact(F.array(*[F.when(text.rlike(near(*cues)), name) for name, cues in rules.items()]))
+    return meeting(text, {name: near(*cues) for name, cues in rules.items()})
 
 
 def of_kind(kind: str, found: Column) -> Column:
@@ -62,7 +64,7 @@ def of_kind(kind: str, found: Column) -> Column:
 
 def labelled(docs: DataFrame) -> DataFrame:
     """doc_id, problems, effects: without a problem of its own a text has those that its effects answer, 4 at most."""
-    rows = docs.select("doc_id", matched(F.col("text"), PROBLEMS).alias("own"), matched(F.col("text"), EFFECTS).alias("effects"))
+    rows = once(docs.select("doc_id", "text"), own=matched(F.col("text"), PROBLEMS), effects=matched(F.col("text"), EFFECTS)).drop("text")
     answers = F.create_map(*[F.lit(x) for pair in DERIVED.items() for x in pair])
     derived = F.slice(F.array_distinct(F.transform("effects", lambda e: answers[e])), 1, 4)
     return rows.select("doc_id", F.when(F.size("own") > 0, F.col("own")).otherwise(derived).alias("problems"), "effects")
