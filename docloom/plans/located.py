@@ -84,6 +84,4 @@ k as (select doc_id, n as key_id, substring(trim(regexp_replace(line, '\\s+', '
 select key_id::integer as key_id, k.doc_id, min(page_no)::integer as first_page, max(page_no)::integer as last_page from k join pages_ using (doc_id) where key <> '' and contains(pages_.text, key) group by all""")
 def line_pages(spark, d):
     """First and last page of a document that holds the beginning of each of its lines."""
-    docs = table(spark, d, "documents")
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("key_id", "text")).withColumn("key_id", F.col("key_id") + 1)
-    return locate.first_and_last(lines, locate.pages_of(docs), same_document=True)
+    return locate.pages_of_lines(table(spark, d, "documents"))
