@@ -2,8 +2,11 @@
 
 import duckdb
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from docloom.functions import measures
+from docloom.functions import rules as fixed
+from docloom.operators import dictionary
 from docloom.plans import catalog
 
 
@@ -44,3 +47,11 @@ def test_pieces_are_small_and_whole(monkeypatch):
     texts = pa.array(["abc", None, "x" * 50, "", "ab", "cd" * 3, "e"])
     some = list(measures.pieces(texts))
     assert pa.concat_arrays(some).equals(texts) and [len(x) for x in some] == [2, 1, 4]
+
+
+def test_fixed_rules_meet_as_those_of_the_table(spark):
+    texts = ["a SECURITY bus", "read\tdata", "캐시 읽기 SSD", "Testing 控制器 image", "", None, "power quality NOR flash"]
+    context = {label: f"(?i){p}" for label, p in fixed.REPLACEMENTS}
+    rows = spark.createDataFrame([(x,) for x in texts], "text string").select(measures.meeting(F.col("text"), context).alias("m")).collect()
+    rules = dictionary.Rules(fixed.REPLACEMENTS)
+    assert [r.m for r in rows] == [rules.found(x) for x in texts]
