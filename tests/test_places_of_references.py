@@ -54,3 +54,26 @@ def test_ids_by_numbers(spark):
     for x in identifiers.lookup(spark.createDataFrame(asked, "query_id long, text string"), spark.createDataFrame([(i,) for i in ids], "id string")).orderBy("query_id", "rank").collect():
         got.setdefault(x.query_id, []).append(x.id)
     assert got == want and len(want) > 5
+
+
+def test_ids_of_short_and_of_very_long_numbers(spark):
+    long = "31" * 13
+    ids = sorted({f"{c}{k:08d}{k % 7}b2" for k in range(0, 4000, 3) for c in ("us", "cn")} | {f"kr{long}5", f"us9{long}-{long}", "0000012 and 3", "é0000012", "0000012一"})
+    asked = [(1, "0000012"), (2, f"000{long}"), (3, "US 0000000007"), (4, "0000000000"), (5, f"{long}1 or 00{long[:20]}"), (6, "123 4567"), (7, "한국 0001234567")]
+    want = {}
+    for k, text in asked:
+        prefix, out = next((p for p in ("us", "cn") if p in text.lower()), "kr" if "한국" in text else ""), []
+        for f in re.findall(r"\d{7,}", text):
+            for form in dict.fromkeys((f, f.lstrip("0") or f)):
+                out += [i for i in sorted((i for i in ids if form in i and i.startswith(prefix)), key=lambda i: (len(i), i))[:8] if i not in out]
+        if out:
+            want[k] = out[:8]
+    found = identifiers.lookup(spark.createDataFrame(asked, "query_id long, text string"), spark.createDataFrame([(i,) for i in [*ids, *ids, None]], "id string"))
+    got = {}
+    for x in found.orderBy("query_id", "rank").collect():
+        got.setdefault(x.query_id, []).append(x.id)
+    assert got == want and {1, 2, 3, 5} <= set(want)
+    # of a short number, only the first ids of each country leave the tasks
+    sent = identifiers.holding(spark.createDataFrame([(i,) for i in ids], "id string"), spark.createDataFrame([("0",), ("1",)], "fragment string"), 8)
+    n = {r.fragment: r["count"] for r in sent.groupBy("fragment").count().collect()}
+    assert set(n) == {"0", "1"} and max(n.values()) <= 8 * 4
