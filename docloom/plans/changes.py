@@ -56,10 +56,11 @@ def lines_replaced(spark, d):
     """The lines of some orders become one line each; what they were is kept under the run's name."""
     db, lines = loaded(spark, d), table(spark, d, "lineitem")
     which = lines.filter("l_returnflag = 'R' and l_linenumber = 1").select("l_orderkey").distinct()
-    old = lines.join(which, "l_orderkey", "left_semi")
+    change = db.change().backup("lineitem", "backup", which, "run-1")
+    old = change.table("backup").filter("run_id = 'run-1'")
     rest = [F.first(c).alias(c) for c in lines.columns if c not in ("l_orderkey", "l_linenumber", "l_quantity")]
     new = old.groupBy("l_orderkey").agg(F.sum("l_quantity").alias("l_quantity"), *rest).withColumn("l_linenumber", F.lit(1).cast(lines.schema["l_linenumber"].dataType))
-    db.change().backup("lineitem", "backup", which, "run-1").replace("lineitem", which, new).commit()
+    change.replace("lineitem", which, new).commit()
     shown = [db.table(t).withColumn("tbl", F.lit(t)) for t in ("lineitem", "backup")]
     both = shown[0].withColumn("run_id", F.lit("")).unionByName(shown[1])
     return both.select("tbl", "l_orderkey", "l_linenumber", F.round("l_quantity", 2).alias("l_quantity"), "run_id")

@@ -5,6 +5,9 @@ folders; then one manifest of the whole database names the new folders instead o
 lost before that leaves folders that no manifest names; a second writer of the same version gets an error and changes
 nothing. Earlier versions can be read until vacuum() deletes what the last ones do not name.
 
+A change joins only rows that may meet its keys: a bitmap of the keys, of SLOTS bits whatever their count, goes to all tasks, and the
+rows whose bit is not set are written by the task that reads them, without a shuffle. What the bit lets pass is joined.
+
 Keys may be null (null equals null). Rows of a change with equal keys: the last by `order` counts, or an arbitrary one without.
 An empty change makes a new version with the same rows.
 """
@@ -19,6 +22,9 @@ from pyspark.sql import types as T
 
 from docloom.sources.store import Files, Manifest, new_name
 
+SLOTS = 1 << 26  # 16 MB as words of 64 bits
+FILES = 8  # into how many files at most the rows that are dealt to a bucket are written, so that no task gets a whole bucket
+
 
 def same(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
     return reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[k]) for k in keys])
@@ -30,6 +36,16 @@ def latest(rows: DataFrame, keys: list[str], order: str | None) -> DataFrame:
     return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(by))).filter("_n = 1").drop("_n")
 
 
+def parted(rows: DataFrame, which: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """rows whose key columns (those of `which`, of the same types) are not in `which`, and those that may be."""
+    slot = F.pmod(F.xxhash64(*which.columns), F.lit(SLOTS))
+    one = which.select(slot.alias("_s"))
+    words = one.groupBy(F.expr("_s div 64").alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, int(_s % 64))")).alias("_bits"))
+    met = rows.withColumn("_s", slot).withColumn("_word", F.expr("_s div 64")).join(F.broadcast(words), "_word", "left")
+    may = F.expr("coalesce(shiftrightunsigned(_bits, int(_s % 64)) & 1L, 0L) = 1L")
+    return met.filter(~may).select(*rows.columns), met.filter(may).select(*rows.columns)
+
+
 class Database:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder, self.manifest = spark, folder, Manifest(spark, folder)
@@ -78,15 +94,25 @@ class Change:
         t = self.state[name]
         return F.pmod(F.xxhash64(*t["by"]), F.lit(t["n"])).cast("int")
 
-    def _put(self, name: str, rows: DataFrame, touched: list[int]) -> None:
-        """rows are all that the touched buckets hold from now on."""
+    def _put(self, name: str, rows: DataFrame | None, touched: list[int], stay: DataFrame | None = None) -> None:
+        """rows, and those that `stay` in their buckets, are all that the touched buckets hold from now on."""
         t, folder = self.state[name], new_name(name)
-        rows = rows.select(*[f["name"] for f in t["schema"]["fields"]]).withColumn("_bucket", self._bucket(name))
-        rows.repartition("_bucket").write.partitionBy("_bucket").parquet(f"{self.db.folder}/data/{folder}")
+        parts, columns = [], [f["name"] for f in t["schema"]["fields"]]
+        if stay is not None:  # read from buckets, so a task has rows of few of them
+            parts.append(stay.select(*columns).withColumn("_bucket", self._bucket(name)))
+        if rows is not None:
+            spread = F.pmod(F.shiftrightunsigned(F.xxhash64(*t["by"]), 32), F.lit(FILES))
+            parts.append(rows.select(*columns).withColumn("_bucket", self._bucket(name)).repartition("_bucket", spread))
+        reduce(DataFrame.unionByName, parts).write.partitionBy("_bucket").parquet(f"{self.db.folder}/data/{folder}")
         there = {n.split("=")[1] for n in Files(self.db.spark).names(f"{self.db.folder}/data/{folder}") if n.startswith("_bucket=")}
         kept = {k: v for k, v in t["buckets"].items() if int(k) not in touched}
         self.state[name] = t | {"buckets": kept | dict.fromkeys(there, folder)}
 
+    def _like(self, name: str, which: DataFrame) -> DataFrame:
+        """which, with the types of the table's columns, so that equal keys have equal hashes."""
+        kinds = {f.name: f.dataType for f in T.StructType.fromJson(self.state[name]["schema"])}
+        return which.select(*[F.col(c).cast(kinds[c]) if which.schema[c].dataType != kinds[c] else F.col(c) for c in which.columns])
+
     def _touched(self, name: str, rows: DataFrame) -> list[int]:
         return [r[0] for r in rows.select(self._bucket(name)).distinct().collect()]  # as many as buckets
 
@@ -98,47 +124,50 @@ class Change:
 
     def delete(self, name: str, which: DataFrame) -> Change:
         """Removes the rows whose key columns (those of `which`; the dealing ones among them) are in `which`."""
-        keys = which.columns
+        keys, which = which.columns, self._like(name, which)
         touched = self._touched(name, which)
-        old = self.db._read(self.state[name], touched)
-        self._put(name, old.join(which.distinct(), same(old, which, keys), "left_anti"), touched)
+        stay, may = parted(self.db._read(self.state[name], touched), which)
+        self._put(name, may.join(which.distinct(), same(may, which, keys), "left_anti"), touched, stay)
         return self
 
     def upsert(self, name: str, rows: DataFrame, order: str | None = None, keep_where_null: tuple[str, ...] = ()) -> Change:
         """Inserts rows, or updates all columns of those whose keys are there; a null of keep_where_null leaves what was."""
         keys = self.state[name]["keys"]
         columns = [f["name"] for f in self.state[name]["schema"]["fields"]]
-        new = latest(rows, keys, order).select(*columns)
+        new = self._like(name, latest(rows, keys, order).select(*columns))
         touched = self._touched(name, new)
-        old = self.db._read(self.state[name], touched)
+        stay, old = parted(self.db._read(self.state[name], touched), new.select(*keys))
         if keep_where_null:
             was = old.select(*[F.col(c).alias(f"_was_{c}") for c in (*keys, *keep_where_null)])
             met = new.join(was, reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_was_{k}")) for k in keys]), "left")
             new = met.select(*[F.coalesce(c, f"_was_{c}").alias(c) if c in keep_where_null else F.col(c) for c in columns])
-        self._put(name, old.join(new, same(old, new, keys), "left_anti").unionByName(new), touched)
+        self._put(name, old.join(new, same(old, new, keys), "left_anti").unionByName(new), touched, stay)
         return self
 
     def insert_new(self, name: str, rows: DataFrame, order: str | None = None) -> Change:
         """Inserts the rows whose keys are not there; of equal new ones the last by order."""
         keys = self.state[name]["keys"]
-        new = latest(rows, keys, order)
+        columns = [f["name"] for f in self.state[name]["schema"]["fields"]]
+        new = self._like(name, latest(rows, keys, order).select(*columns))
         touched = self._touched(name, new)
         old = self.db._read(self.state[name], touched)
-        self._put(name, old.unionByName(new.join(old, same(new, old, keys), "left_anti").select(*old.columns)), touched)
+        may = parted(old.select(*keys), new.select(*keys))[1]
+        self._put(name, new.join(may, same(new, may, keys), "left_anti"), touched, old)
         return self
 
     def replace(self, name: str, which: DataFrame, rows: DataFrame) -> Change:
         """Removes the rows of `which` and inserts `rows`; rows stay whole when a key is in both."""
         keys, columns = which.columns, [f["name"] for f in self.state[name]["schema"]["fields"]]
+        which, rows = self._like(name, which), self._like(name, rows.select(*columns))
         touched = sorted({*self._touched(name, which), *self._touched(name, rows)})
-        old = self.db._read(self.state[name], touched)
-        self._put(name, old.join(which.distinct(), same(old, which, keys), "left_anti").unionByName(rows.select(*columns)), touched)
+        stay, may = parted(self.db._read(self.state[name], touched), which)
+        self._put(name, may.join(which.distinct(), same(may, which, keys), "left_anti").unionByName(rows), touched, stay)
         return self
 
     def backup(self, name: str, into: str, which: DataFrame, run_id: str) -> Change:
         """Copies the rows of `which` to the table `into` (made if it is not there) under a run's name."""
-        keys = which.columns
-        old = self.db._read(self.state[name], self._touched(name, which))
+        keys, which = which.columns, self._like(name, which)
+        old = parted(self.db._read(self.state[name], self._touched(name, which)), which)[1]
         copies = old.join(which.distinct(), same(old, which, keys), "left_semi").withColumn("run_id", F.lit(run_id))
         if into not in self.state:
             t = self.state[name]

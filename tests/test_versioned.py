@@ -3,7 +3,7 @@
 import pytest
 
 from docloom.sources.store import Files
-from docloom.sources.versioned import Change, Database
+from docloom.sources.versioned import Change, Database, parted
 
 ORDERS, LINES = "k long, status string, retries int", "k long, n int, text string"
 
@@ -82,3 +82,17 @@ def test_a_step_sees_the_steps_before_and_vacuum_keeps_the_last(spark, db, tmp_p
     many = len(Files(spark).names(f"{tmp_path}/data"))
     db.vacuum()
     assert [rows(db.table(t)) for t in ("orders", "lines")] == before and len(Files(spark).names(f"{tmp_path}/data")) < many
+
+
+def test_keys_of_another_type_find_their_rows(spark, db):
+    which = spark.createDataFrame([(k,) for k in range(40)], "k int")
+    db.change().backup("lines", "old", which, "a").delete("lines", which).upsert("orders", spark.createDataFrame([(7, "done", 1)], "k int, status string, retries int")).commit()
+    assert sorted({r.k for r in db.table("lines").collect()}) == list(range(40, 50)) and db.table("old").count() == 120
+    assert db.table("orders").filter("k = 7").count() == 1 and db.table("orders").count() == 51
+
+
+def test_rows_that_a_change_does_not_name_stay_out_of_its_joins(spark):
+    rows_ = spark.range(20_000).selectExpr("nullif(id, 0) as k", "id as n")
+    stay, may = parted(rows_, keys(spark, None, 3, 3, 19_999, 70_000))
+    assert {3, 19_999, None} <= {r.k for r in may.collect()} and may.count() <= 100
+    assert rows(stay.unionByName(may)) == rows(rows_)
