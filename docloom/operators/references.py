@@ -13,6 +13,8 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,12 +22,26 @@ from docloom.functions import rules
 from docloom.functions import text as tx
 
 HEAD_LINES = 8
+MAY_REFER = r"[0-9][A-Za-z]|[A-Za-z][0-9]|CS|DR|CR|FG|CG|SG|EG"  # every reference meets it
+MAY_NAME = r"(?:图|도|[fF][iIıİ][gG]\.?)[\t-\r \x85\p{Z}]*\p{N}"  # every name of a figure meets it
 PLACES = "array<struct<ref: string, start: int>>"
 
 
-def lines_of(pages: DataFrame) -> DataFrame:
-    """doc_id, page_no, line_no (from 1, of the lines that are not blank), raw, line (white space collapsed)."""
-    lines = F.filter(F.split(F.coalesce("text", F.lit("")), r"\r\n|[\n\r]"), lambda x: tx.collapse_space(x) != "")
+def meeting_all(pages: DataFrame, *patterns: str) -> DataFrame:
+    """The pages whose text meets each pattern, by RE2; what follows is not done to the others (Spark would move it before a filter)."""
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            for p in patterns:
+                b = b.filter(pc.match_substring_regex(b.column("text"), p))
+            yield b
+
+    return pages.mapInArrow(run, pages.schema)
+
+
+def lines_of(pages: DataFrame, most: int | None = None) -> DataFrame:
+    """doc_id, page_no, line_no (from 1, of the lines that are not blank), raw, line (white space collapsed); the first `most` of each page, or all."""
+    lines = F.filter(F.split(F.coalesce("text", F.lit("")), r"\r\n|[\n\r]"), lambda x: x.rlike(r"(?U)\S"))
+    lines = lines if most is None else F.slice(lines, 1, most)
     each = pages.select("doc_id", "page_no", F.posexplode(lines).alias("line_no", "raw"))
     return each.select("doc_id", "page_no", (F.col("line_no") + 1).alias("line_no"), "raw", tx.collapse_space(F.col("raw")).alias("line"))
 
@@ -57,10 +73,12 @@ def places(text: Column) -> Column:
 
 def references(pages: DataFrame, claim_pages: DataFrame) -> DataFrame:
     """doc_id, page_no, line_no, start, ref, ref_norm, section, figure_no. claim_pages: doc_id, page_no."""
-    lines = lines_of(pages)
-    drawings = captions(lines).filter("drawing").groupBy("doc_id", "page_no").agg(F.min(F.struct("line_no", "figure_no")).alias("f")).select("doc_id", "page_no", "f.figure_no")
+    # most pages have no reference: one read of the text tells, and only the others are cut into lines
+    pages = pages.select("doc_id", "page_no", "text")
+    lines = lines_of(meeting_all(pages, MAY_REFER))
+    drawings = captions(lines_of(meeting_all(pages, MAY_REFER, MAY_NAME), HEAD_LINES)).filter("drawing").groupBy("doc_id", "page_no").agg(F.min(F.struct("line_no", "figure_no")).alias("f")).select("doc_id", "page_no", "f.figure_no")
     # a line that can hold none is not sent to Python
-    some = lines.filter(F.col("raw").rlike(r"\d[A-Za-z]|[A-Za-z]\d|CS|DR|CR|FG|CG|SG|EG"))
+    some = lines.filter(F.col("raw").rlike(MAY_REFER))
     found = some.select("doc_id", "page_no", "line_no", F.inline(places(F.col("raw"))))
     met = found.join(drawings, ["doc_id", "page_no"], "left").join(claim_pages.select("doc_id", "page_no").distinct().withColumn("in_claim", F.lit(True)), ["doc_id", "page_no"], "left")
     section = F.when(F.col("in_claim"), "claim").when(F.col("figure_no").isNotNull(), "drawing").otherwise("description")

@@ -77,3 +77,15 @@ def test_ids_of_short_and_of_very_long_numbers(spark):
     sent = identifiers.holding(spark.createDataFrame([(i,) for i in ids], "id string"), spark.createDataFrame([("0",), ("1",)], "fragment string"), 8)
     n = {r.fragment: r["count"] for r in sent.groupBy("fragment").count().collect()}
     assert set(n) == {"0", "1"} and max(n.values()) <= 8 * 4
+
+
+def test_only_pages_that_can_hold_a_reference_are_cut_into_lines(spark, monkeypatch):
+    pages = spark.createDataFrame([*PAGES, (5, 1, "ﬁg 3\nFıG. ٣ 7a"), (5, 2, "도　 7\n\x1f\n9Z"), (5, 3, "no number\n" * 50), (5, 4, "fig x\n3a")], "doc_id long, page_no int, text string")
+    want, cut, seen = sorted(map(str, references.references(pages, spark.createDataFrame([], "doc_id long, page_no int")).collect())), references.lines_of, []
+    monkeypatch.setattr(references, "lines_of", lambda rows, *most: seen.append(rows) or cut(rows, *most))
+    references.references(pages, spark.createDataFrame([], "doc_id long, page_no int"))
+    assert [sorted((r.doc_id, r.page_no) for r in x.collect()) for x in seen] == [[(1, 1), (1, 2), (2, 1), (5, 1), (5, 2), (5, 4)], [(1, 1), (1, 2), (2, 1), (5, 1), (5, 2)]]
+    monkeypatch.setattr(references, "MAY_REFER", "")  # all pages are cut
+    monkeypatch.setattr(references, "MAY_NAME", "")
+    monkeypatch.setattr(references, "lines_of", cut)
+    assert sorted(map(str, references.references(pages, spark.createDataFrame([], "doc_id long, page_no int")).collect())) == want
