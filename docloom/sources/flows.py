@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docloom.sources.store import Manifest, new_name
+from docloom.sources.versioned import parted
 
 Stage = tuple[str, Callable[[DataFrame], DataFrame]]
 GIVEN = "given"  # the name of the stage before the first
@@ -75,7 +76,8 @@ class Flow:
         if not bad:
             return rows
         failed = self._failed(state, stage, bad).select(self.key, "_part").distinct()
-        return rows.join(failed, self._same(rows, failed) & (rows["_part"] == failed["_part"]), "left_anti")
+        rest, rows = parted(rows, failed)  # the rest is handed on by the tasks that read it
+        return rest.unionByName(rows.join(failed, self._same(rows, failed) & (rows["_part"] == failed["_part"]), "left_anti"))
 
     # What a user calls
 
@@ -154,7 +156,7 @@ class Flow:
                 if not parts:
                     continue
                 failed = self._failed(state, name, parts).select(self.key).distinct()
-                inputs = self._inputs(state, name, {p: state["todo"][name][p] for p in parts})
+                inputs = parted(self._inputs(state, name, {p: state["todo"][name][p] for p in parts}), failed)[1]
                 batch = str(len({p.split(".")[0] for p in state["tries"]}))
                 again = inputs.join(failed, self._same(inputs, failed), "left_semi")
                 folder = self._write(again.withColumn("_part", F.concat(F.lit(f"{batch}."), F.substring_index("_part", ".", -1))), f"{name}-again")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from docloom.sources.flows import GIVEN, Flow
 from docloom.sources.store import Files
+from docloom.sources.versioned import parted
 
 DOCS = [(k, f"text {k}") for k in range(40)] + [(50, None), (51, ""), (None, "without a key"), (52, "bad line\ngood line")]
 
@@ -106,3 +107,23 @@ def test_more_documents_and_none(spark, tmp_path):
         flow(spark, tmp_path, ("a", lines), ("a", sized))
     with pytest.raises(ValueError):
         flow(spark, tmp_path, (GIVEN, lines))
+
+
+def test_only_documents_that_failed_are_joined(spark, tmp_path, monkeypatch):
+    """Of a stage's rows, those of documents that failed are shuffled, not the text of all."""
+    seen = []
+
+    def counted(rows, which):
+        rest, may = parted(rows, which)
+        seen.append((rest.count(), may.count()))
+        return rest, may
+
+    monkeypatch.setattr("docloom.sources.flows.parted", counted)
+    f = flow(spark, tmp_path, tries=2)
+    f.take(docs(spark))
+    f.run()
+    assert seen and all(may <= 4 for _, may in seen) and rows_of(f.table("sized")) == want(DOCS)
+    seen.clear()
+    assert f.retry() > 0 and seen[0][1] == 3 and seen[0][0] > 0  # of the input, the three documents that failed
+    f.run()
+    assert rows_of(f.table("sized")) == want(DOCS) and rows_of(f.table("lines").select("line")) == rows_of(spark.createDataFrame([(t,) for _, t in DOCS if t and "bad" not in t], "line string"))
