@@ -5,8 +5,8 @@ A flow's documents are dealt to parts by a hash of their key. A stage is a funct
 is lost leaves rows that no ledger names; run() again does what is left, and that only. The driver holds the ledger: a few
 entries for each stage and part, no rows.
 
-A stage names what it could not do: rows with an `error` (a string) are not handed on but wait in quarantine(), each a document (`key`);
-should a document have both kinds of rows in a stage, it failed. retry() gives the failed documents of a stage their input once more,
+A stage names what it could not do: rows with an `error` (a string) are written apart (_failed=true) and not handed on but wait in
+quarantine(), each a document (`key`); should a document have both kinds of rows in a stage, it failed. retry() gives the failed documents of a stage their input once more,
 as further parts, until they were tried `tries` times.
 take() adds documents; those whose key was taken before are left alone. Rows of one key are one document; null is a key like others.
 """
@@ -45,18 +45,20 @@ class Flow:
         empty = {"schema": {}, "todo": {n: {} for n, _ in self.stages}, "done": {n: {} for n in (GIVEN, *self.before)}, "tries": {}, "errors": {n: [] for n in self.before}, "retried": {n: [] for n in self.before}}
         return self.ledger.state(version) or empty, version
 
-    def _read(self, schema: dict, folders: dict[str, str]) -> DataFrame:
-        """The rows of some parts (part: folder), with _part."""
-        fields = T.StructType([*T.StructType.fromJson(schema), T.StructField("_part", T.StringType())])
+    def _read(self, schema: dict, folders: dict[str, str], failed: bool | None = None) -> DataFrame:
+        """The rows of some parts (part: folder), with _part; of what a stage wrote only those with an error, or those without."""
+        apart = [] if failed is None else [T.StructField("_failed", T.BooleanType())]
+        fields = T.StructType([*T.StructType.fromJson(schema), *apart, T.StructField("_part", T.StringType())])
         by_folder: dict[str, list[str]] = {}
         for part, folder in folders.items():
             by_folder.setdefault(folder, []).append(part)
         rows = [self.spark.read.schema(fields).parquet(f"{self.folder}/data/{f}").filter(F.col("_part").isin(ps)) for f, ps in by_folder.items()]
-        return reduce(DataFrame.unionByName, rows) if rows else self.spark.createDataFrame([], fields)
+        out = reduce(DataFrame.unionByName, rows) if rows else self.spark.createDataFrame([], fields)
+        return out if failed is None else out.filter(F.col("_failed") == failed).drop("_failed")
 
-    def _write(self, rows: DataFrame, what: str) -> str:
+    def _write(self, rows: DataFrame, what: str, *apart: str) -> str:
         folder = new_name(what)
-        rows.write.partitionBy("_part").option("compression", "zstd").parquet(f"{self.folder}/data/{folder}")
+        rows.write.partitionBy(*apart, "_part").option("compression", "zstd").parquet(f"{self.folder}/data/{folder}")
         return folder
 
     def _same(self, a: DataFrame, b: DataFrame) -> Column:
@@ -64,15 +66,14 @@ class Flow:
 
     def _failed(self, state: dict, stage: str, parts: list[str]) -> DataFrame:
         """The rows with an error of some parts of a stage."""
-        return self._read(state["schema"][stage], {p: state["done"][stage][p] for p in parts}).filter("error is not null")
+        return self._read(state["schema"][stage], {p: state["done"][stage][p] for p in parts}, True)
 
     def _good(self, state: dict, stage: str, parts: dict[str, str]) -> DataFrame:
         """What a stage hands on of some parts: the rows of documents without an error."""
-        rows = self._read(state["schema"][stage], parts)
         if stage == GIVEN:
-            return rows
+            return self._read(state["schema"][stage], parts)
         bad = [p for p in parts if p in state["errors"][stage]]
-        rows = rows.filter("error is null").drop("error")
+        rows = self._read(state["schema"][stage], parts, False).drop("error")
         if not bad:
             return rows
         failed = self._failed(state, stage, bad).select(self.key, "_part").distinct()
@@ -88,8 +89,7 @@ class Flow:
         if state["done"][GIVEN]:
             names = T.StructType.fromJson(state["schema"][GIVEN]).names
             schema, known = state["schema"][GIVEN], self._read(state["schema"][GIVEN], state["done"][GIVEN]).select(self.key).distinct()
-            rows = rows.select(*names)
-            rows = rows.join(known, self._same(rows, known), "left_anti")
+            rows = self._others(rows.select(*names), known)
         batch = str(len({p.split(".")[0] for p in state["tries"]}))
         deal = F.concat(F.lit(f"{batch}."), F.pmod(F.xxhash64(self.key), F.lit(self.parts)).cast("string"))
         plain = [c for c, t in rows.dtypes if "map<" not in t and "variant" not in t]
@@ -101,6 +101,17 @@ class Flow:
         self.ledger.put(state, version)
         return len(there)
 
+    def _others(self, rows: DataFrame, known: DataFrame) -> DataFrame:
+        """rows whose key is not in `known`. Of those that may be, only the keys are joined; rows whose keys proved new are then sought."""
+        kind = known.schema[self.key].dataType
+        if rows.schema[self.key].dataType != kind:  # equal keys have equal hashes
+            rows = rows.withColumn(self.key, F.col(self.key).cast(kind))
+        others, met = parted(rows, known)
+        keys = met.select(self.key).distinct()
+        new = keys.join(known, self._same(keys, known), "left_anti")
+        again = parted(met, new)[1]
+        return others.unionByName(again.join(new, self._same(again, new), "left_semi"))
+
     def _parts(self, folder: str) -> list[str]:
         names = self.ledger.files.names(f"{self.folder}/data/{folder}")
         return [n.split("=", 1)[1] for n in names if n.startswith("_part=")]
@@ -127,11 +138,10 @@ class Flow:
                 out = work(inputs)
                 if "error" not in out.columns:
                     out = out.withColumn("error", F.lit(None).cast("string"))
-                folder = self._write(out, name)
+                folder = self._write(out.withColumn("_failed", F.col("error").isNotNull()), name, "_failed")
                 state["schema"][name] = out.drop("_part").schema.jsonValue()
                 state["done"][name] |= dict.fromkeys(parts, folder)
-                bad = self._failed(state, name, parts).select("_part").distinct().collect()  # as many as parts of a job
-                state["errors"][name] += sorted(r[0] for r in bad)
+                state["errors"][name] += self._parts(f"{folder}/_failed=true")
                 if k + 1 < len(self.stages):
                     state["todo"][self.stages[k + 1][0]] |= dict.fromkeys(parts, folder)
                 self.ledger.put(state, version)

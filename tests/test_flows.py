@@ -127,3 +127,32 @@ def test_only_documents_that_failed_are_joined(spark, tmp_path, monkeypatch):
     assert f.retry() > 0 and seen[0][1] == 3 and seen[0][0] > 0  # of the input, the three documents that failed
     f.run()
     assert rows_of(f.table("sized")) == want(DOCS) and rows_of(f.table("lines").select("line")) == rows_of(spark.createDataFrame([(t,) for _, t in DOCS if t and "bad" not in t], "line string"))
+
+
+def test_texts_that_were_taken_are_not_joined_again(spark, tmp_path, monkeypatch):
+    """A second lot joins keys; of its rows only those whose key proved new after it shared a slot with one that was taken."""
+    monkeypatch.setattr("docloom.sources.versioned.SLOTS", 64)
+    seen = []
+
+    def counted(rows, which):
+        rest, may = parted(rows, which)
+        seen.append((rest.count(), may.count(), which.columns))
+        return rest, may
+
+    f = flow(spark, tmp_path)
+    f.take(docs(spark, DOCS[:30]))
+    monkeypatch.setattr("docloom.sources.flows.parted", counted)
+    assert f.take(docs(spark, [*DOCS, *DOCS[35:]]).withColumn("doc_id", F.col("doc_id").cast("int"))) > 0
+    (apart, met, columns), (known, again, _) = seen
+    assert columns == ["doc_id"] and apart + met == len(DOCS) + len(DOCS[35:]) and known + again == met and 0 < again < met and known > 0
+    assert rows_of(f.table(GIVEN)) == rows_of(docs(spark, [*DOCS, *DOCS[35:]]))
+
+
+def test_failures_are_read_without_the_other_rows(spark, tmp_path):
+    f = flow(spark, tmp_path, at_once=6)
+    f.take(docs(spark))
+    f.run()
+    (folder,) = [n for n in Files(spark).names(f"{tmp_path}/data") if n.startswith("lines-")]
+    kept = spark.read.parquet(f"{tmp_path}/data/{folder}/_failed=true")
+    assert {r[0] for r in kept.select("doc_id").collect()} == {50, 51, 52} and kept.count() == 3  # of 52 the bad line only
+    assert rows_of(f.quarantine()) == [(50, "lines", "no text", 1), (51, "lines", "no text", 1), (52, "lines", "bad line", 1)]

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions import measures
 from docloom.functions import rules as fixed
+from docloom.functions import text as tx
 from docloom.operators import dictionary
 from docloom.plans import catalog
 
@@ -55,3 +56,17 @@ def test_fixed_rules_meet_as_those_of_the_table(spark):
     rows = spark.createDataFrame([(x,) for x in texts], "text string").select(measures.meeting(F.col("text"), context).alias("m")).collect()
     rules = dictionary.Rules(fixed.REPLACEMENTS)
     assert [r.m for r in rows] == [rules.found(x) for x in texts]
+
+
+def test_a_claim_is_measured_with_single_spaces_whatever_its_white_space(spark):
+    odd = [chr(c) for c in range(0x3100) if c] + ["\U0001f600", "  ", " 　 \n"]
+    texts = ["", " ", " a ", "a b", "  a \tb  ", *(f"a{x}b{x}{x} c" for x in odd), *(f"{x}a b{x}" for x in odd)]
+    want = [r.t for r in spark.createDataFrame([(k, x) for k, x in enumerate(texts)], "k int, x string").orderBy("k").select(tx.collapse_space("x").alias("t")).collect()]
+    assert measures.collapsed(pa.array(texts)).to_pylist() == want
+    got = spark.createDataFrame([(k, x) for k, x in enumerate([*texts, None])], "k int, x string").withColumn("m", measures.measured(F.col("x"), {"b": "b"}, {"spaces": " "}, True, True)).orderBy("k").select("m.*").collect()
+    assert [(r.b, r.spaces, r.n_clean) for r in got] == [("b" in t, t.count(" "), len(t)) for t in [*want, ""]]
+
+
+def test_short_tokens_are_counted_by_their_bytes():
+    texts = ["an " * 8, "An,aN." * 4, "an " * 7, "é " * 9, "aé " * 9, "a—" * 9, "a_b " * 9, "ab1 " * 9, "abcd " * 9, "x\x00" * 8 + "yz " * 9, "", "Ka " * 8]
+    assert measures.repeated(pa.array(["ab", *texts, "ab"]).slice(1, len(texts))).tolist() == [8, 8, 0, 0, 0, 9, 0, 0, 0, 17, 0, 8]
