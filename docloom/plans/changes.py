@@ -16,8 +16,8 @@ query = here.query
 def loaded(spark, d) -> Database:
     """Both tables in a new folder, dealt by the order."""
     db = Database(spark, f"{shared_folder(spark)}/{new_name('tables')}")
-    change = db.change().create("orders", table(spark, d, "orders"), ["o_orderkey"], buckets=16)
-    change.create("lineitem", table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_orderkey"], 16).commit()
+    change = db.change().create("orders", table(spark, d, "orders"), ["o_orderkey"], buckets=16, shuffle=False)
+    change.create("lineitem", table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_orderkey"], 16, shuffle=False).commit()
     return db
 
 

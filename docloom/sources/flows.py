@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docloom.sources.store import Manifest, new_name
-from docloom.sources.versioned import parted
+from docloom.sources.versioned import parted, spared
 
 Stage = tuple[str, Callable[[DataFrame], DataFrame]]
 GIVEN = "given"  # the name of the stage before the first
@@ -102,15 +102,12 @@ class Flow:
         return len(there)
 
     def _others(self, rows: DataFrame, known: DataFrame) -> DataFrame:
-        """rows whose key is not in `known`. Of those that may be, only the keys are joined; rows whose keys proved new are then sought."""
+        """rows whose key is not in `known`."""
         kind = known.schema[self.key].dataType
         if rows.schema[self.key].dataType != kind:  # equal keys have equal hashes
             rows = rows.withColumn(self.key, F.col(self.key).cast(kind))
         others, met = parted(rows, known)
-        keys = met.select(self.key).distinct()
-        new = keys.join(known, self._same(keys, known), "left_anti")
-        again = parted(met, new)[1]
-        return others.unionByName(again.join(new, self._same(again, new), "left_semi"))
+        return others.unionByName(spared(met, known))
 
     def _parts(self, folder: str) -> list[str]:
         names = self.ledger.files.names(f"{self.folder}/data/{folder}")

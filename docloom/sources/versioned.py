@@ -6,7 +6,8 @@ lost before that leaves folders that no manifest names; a second writer of the s
 nothing. Earlier versions can be read until vacuum() deletes what the last ones do not name.
 
 A change joins only rows that may meet its keys: a bitmap of the keys, of SLOTS bits whatever their count, goes to all tasks, and the
-rows whose bit is not set are written by the task that reads them, without a shuffle. What the bit lets pass is joined.
+rows whose bit is not set are written by the task that reads them, without a shuffle. Of what the bit lets pass the keys are joined.
+A task writes the files of its buckets side by side, as sorting its rows by bucket would spill them (WRITERS at most, then it sorts).
 
 Keys may be null (null equals null). Rows of a change with equal keys: the last by `order` counts, or an arbitrary one without.
 An empty change makes a new version with the same rows.
@@ -23,6 +24,7 @@ from pyspark.sql import types as T
 from docloom.sources.store import Files, Manifest, new_name
 
 SLOTS = 1 << 26  # 16 MB as words of 64 bits
+WRITERS = 64  # files that a task may have open at once
 FILES = 8  # into how many files at most the rows that are dealt to a bucket are written, so that no task gets a whole bucket
 
 
@@ -46,6 +48,15 @@ def parted(rows: DataFrame, which: DataFrame) -> tuple[DataFrame, DataFrame]:
     return met.filter(~may).select(*rows.columns), met.filter(may).select(*rows.columns)
 
 
+def spared(may: DataFrame, which: DataFrame) -> DataFrame:
+    """Of the rows that parted() lets pass, those whose keys are not in `which`: the keys are joined, and only the rows of those that
+    had but a bit in common with one of `which`, few, are then sought and joined."""
+    keys = may.select(*which.columns).distinct()
+    other = keys.join(which, same(keys, which, which.columns), "left_anti")
+    again = parted(may, other)[1]
+    return again.join(other, same(again, other, which.columns), "left_semi")
+
+
 class Database:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder, self.manifest = spark, folder, Manifest(spark, folder)
@@ -94,16 +105,25 @@ class Change:
         t = self.state[name]
         return F.pmod(F.xxhash64(*t["by"]), F.lit(t["n"])).cast("int")
 
+    def _write(self, name: str, rows: DataFrame, folder: str) -> None:
+        conf, key = self.db.spark.conf, "spark.sql.maxConcurrentOutputFileWriters"
+        before = conf.get(key, "0")
+        conf.set(key, str(min(self.state[name]["n"], WRITERS)))
+        try:
+            rows.write.partitionBy("_bucket").option("compression", "zstd").parquet(folder)
+        finally:
+            conf.set(key, before)
+
     def _put(self, name: str, rows: DataFrame | None, touched: list[int], stay: DataFrame | None = None) -> None:
-        """rows, and those that `stay` in their buckets, are all that the touched buckets hold from now on."""
+        """rows, and those that `stay` where the tasks read them, are all that the touched buckets hold from now on."""
         t, folder = self.state[name], new_name(name)
         parts, columns = [], [f["name"] for f in t["schema"]["fields"]]
-        if stay is not None:  # read from buckets, so a task has rows of few of them
+        if stay is not None:
             parts.append(stay.select(*columns).withColumn("_bucket", self._bucket(name)))
         if rows is not None:
             spread = F.pmod(F.shiftrightunsigned(F.xxhash64(*t["by"]), 32), F.lit(FILES))
             parts.append(rows.select(*columns).withColumn("_bucket", self._bucket(name)).repartition("_bucket", spread))
-        reduce(DataFrame.unionByName, parts).write.partitionBy("_bucket").parquet(f"{self.db.folder}/data/{folder}")
+        self._write(name, reduce(DataFrame.unionByName, parts), f"{self.db.folder}/data/{folder}")
         there = {n.split("=")[1] for n in Files(self.db.spark).names(f"{self.db.folder}/data/{folder}") if n.startswith("_bucket=")}
         kept = {k: v for k, v in t["buckets"].items() if int(k) not in touched}
         self.state[name] = t | {"buckets": kept | dict.fromkeys(there, folder)}
@@ -116,18 +136,19 @@ class Change:
     def _touched(self, name: str, rows: DataFrame) -> list[int]:
         return [r[0] for r in rows.select(self._bucket(name)).distinct().collect()]  # as many as buckets
 
-    def create(self, name: str, rows: DataFrame, keys: list[str], by: list[str] | None = None, buckets: int = 64) -> Change:
-        """keys tell rows apart; by: the keys that deal them to buckets (those that changes name)."""
+    def create(self, name: str, rows: DataFrame, keys: list[str], by: list[str] | None = None, buckets: int = 64, shuffle: bool = True) -> Change:
+        """keys tell rows apart; by: the keys that deal them to buckets (those that changes name). Without `shuffle` each task
+        writes its rows of each bucket to a file of its own: for rows that come in large pieces, as from large files."""
         self.state[name] = {"schema": rows.schema.jsonValue(), "keys": keys, "by": by or keys, "n": buckets, "buckets": {}}
-        self._put(name, rows, [])
+        self._put(name, *((rows, []) if shuffle else (None, [], rows)))
         return self
 
     def delete(self, name: str, which: DataFrame) -> Change:
         """Removes the rows whose key columns (those of `which`; the dealing ones among them) are in `which`."""
-        keys, which = which.columns, self._like(name, which)
+        which = self._like(name, which)
         touched = self._touched(name, which)
         stay, may = parted(self.db._read(self.state[name], touched), which)
-        self._put(name, may.join(which.distinct(), same(may, which, keys), "left_anti"), touched, stay)
+        self._put(name, spared(may, which), touched, stay)
         return self
 
     def upsert(self, name: str, rows: DataFrame, order: str | None = None, keep_where_null: tuple[str, ...] = ()) -> Change:
@@ -141,7 +162,7 @@ class Change:
             was = old.select(*[F.col(c).alias(f"_was_{c}") for c in (*keys, *keep_where_null)])
             met = new.join(was, reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_was_{k}")) for k in keys]), "left")
             new = met.select(*[F.coalesce(c, f"_was_{c}").alias(c) if c in keep_where_null else F.col(c) for c in columns])
-        self._put(name, old.join(new, same(old, new, keys), "left_anti").unionByName(new), touched, stay)
+        self._put(name, spared(old, new.select(*keys)).unionByName(new), touched, stay)
         return self
 
     def insert_new(self, name: str, rows: DataFrame, order: str | None = None) -> Change:
@@ -157,11 +178,11 @@ class Change:
 
     def replace(self, name: str, which: DataFrame, rows: DataFrame) -> Change:
         """Removes the rows of `which` and inserts `rows`; rows stay whole when a key is in both."""
-        keys, columns = which.columns, [f["name"] for f in self.state[name]["schema"]["fields"]]
+        columns = [f["name"] for f in self.state[name]["schema"]["fields"]]
         which, rows = self._like(name, which), self._like(name, rows.select(*columns))
         touched = sorted({*self._touched(name, which), *self._touched(name, rows)})
         stay, may = parted(self.db._read(self.state[name], touched), which)
-        self._put(name, may.join(which.distinct(), same(may, which, keys), "left_anti").unionByName(rows), touched, stay)
+        self._put(name, spared(may, which).unionByName(rows), touched, stay)
         return self
 
     def backup(self, name: str, into: str, which: DataFrame, run_id: str) -> Change:

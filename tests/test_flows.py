@@ -141,7 +141,8 @@ def test_texts_that_were_taken_are_not_joined_again(spark, tmp_path, monkeypatch
 
     f = flow(spark, tmp_path)
     f.take(docs(spark, DOCS[:30]))
-    monkeypatch.setattr("docloom.sources.flows.parted", counted)
+    for module in ("flows", "versioned"):
+        monkeypatch.setattr(f"docloom.sources.{module}.parted", counted)
     assert f.take(docs(spark, [*DOCS, *DOCS[35:]]).withColumn("doc_id", F.col("doc_id").cast("int"))) > 0
     (apart, met, columns), (known, again, _) = seen
     assert columns == ["doc_id"] and apart + met == len(DOCS) + len(DOCS[35:]) and known + again == met and 0 < again < met and known > 0

@@ -1,6 +1,7 @@
 """Changes of several tables: whole or not at all."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from docloom.sources.store import Files
 from docloom.sources.versioned import Change, Database, parted
@@ -96,3 +97,41 @@ def test_rows_that_a_change_does_not_name_stay_out_of_its_joins(spark):
     stay, may = parted(rows_, keys(spark, None, 3, 3, 19_999, 70_000))
     assert {3, 19_999, None} <= {r.k for r in may.collect()} and may.count() <= 100
     assert rows(stay.unionByName(may)) == rows(rows_)
+
+
+def test_of_rows_that_share_a_bit_only_keys_are_joined(spark, db, monkeypatch):
+    """With so few bits that most rows meet them, a change still joins no rows but those whose key it did not name."""
+    monkeypatch.setattr("docloom.sources.versioned.SLOTS", 64)
+    before, seen = rows(db.table("lines")), []
+
+    def counted(some, which):
+        rest, may = parted(some, which)
+        seen.append((rest.count(), may.count()))
+        return rest, may
+
+    monkeypatch.setattr("docloom.sources.versioned.parted", counted)
+    gone = [k for k in range(0, 50, 2)]
+    db.change().delete("lines", keys(spark, *gone, *gone, None)).commit()
+    (stay, may), (_, again) = seen
+    assert rows(db.table("lines")) == [r for r in before if r[0] % 2] and stay + may == 150 and 75 < may and 0 < again < may
+    new = spark.createDataFrame([(1, 0, "x"), (60, 0, "y")], LINES)
+    db.change().upsert("lines", new).replace("lines", keys(spark, 3, 4), new.filter("k = 60").withColumn("k", F.lit(3).cast("long"))).commit()
+    want = [r for r in before if r[0] % 2 and r[0] != 3 and r[:2] != (1, 0)]
+    assert rows(db.table("lines")) == sorted([*want, (1, 0, "x"), (60, 0, "y"), (3, 0, "y")], key=str)
+
+
+def test_a_table_is_dealt_where_it_is_read_without_a_sort(spark, tmp_path):
+    """Neither making a table from large pieces nor a change sorts rows by bucket, which spills in large tasks."""
+    def plans():
+        all_ = spark._jsparkSession.sharedState().statusStore().executionsList()
+        return [all_.apply(k).physicalPlanDescription() for k in range(all_.size())]
+
+    db, some = Database(spark, str(tmp_path)), spark.range(5_000).selectExpr("nullif(id, 0) as k", "id as n")
+    was = len(plans())
+    db.change().create("t", some, ["k"], buckets=8, shuffle=False).commit()
+    made = [p for p in plans()[was:] if "InsertIntoHadoopFsRelationCommand" in p]
+    assert len(made) == 1 and "Sort" not in made[0] and "Exchange" not in made[0] and rows(db.table("t")) == rows(some)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0") == "0"
+    db.change().delete("t", keys(spark, None, 7)).commit()
+    assert rows(db.table("t")) == rows(some.filter("k <> 7"))
+    assert len(Files(spark).names(f"{tmp_path}/data")) == 2
